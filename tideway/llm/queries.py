@@ -2,19 +2,26 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import pii, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(_read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_pii": op4_pii,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_pii": pii.SQL,
+}
