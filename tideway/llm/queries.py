@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality
+from . import pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -13,15 +13,21 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_read(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_pii": op4_pii,
+    "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_pii": pii.SQL,
+    "op9_secrets": secrets.SQL,
 }
