@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality, secrets
+from . import langid, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_read(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.query(_read(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_pii": op4_pii,
+    "op5_language_id": op5_language_id,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
