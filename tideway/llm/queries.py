@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pii, quality, secrets
+from . import decontam, langid, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(_read(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -28,11 +32,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
+    "op6_decontamination": op6_decontamination,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_pii": pii.SQL,
+    "op6_decontamination": decontam.SQL,
     "op9_secrets": secrets.SQL,
 }
