@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, pii, quality, secrets, toxicity
+from . import decontam, langid, pieces, pii, quality, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.query(_read(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_read(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
