@@ -109,10 +109,11 @@ def fit(texts: list[bytes], langs: list[str]) -> Model | None:
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
     """The bounded training sample, as rows (text, lang)."""
     use = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col).between(1, SAMPLE_BYTES)))
-    counts = use.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    share = counts.select("lang", (F.lit(1 << 30) * F.least(F.lit(1.0), F.lit(SAMPLE_PER_LANG) / F.col("n"))).cast("long").alias("most"))
+    # one count per language: the model has a codeword for each of them anyway
+    counts = use.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    most = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, SAMPLE_PER_LANG / r["n"])))) for r in counts), F.lit(0))
     drawn = use.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")), F.lit(1 << 30)).alias("draw"))
-    rows = drawn.join(share, "lang").filter("draw < most").orderBy("draw", "text").limit(SAMPLE_ROWS)
+    rows = drawn.filter(F.col("draw") < most).orderBy("draw", "text").limit(SAMPLE_ROWS)
     return [(r["text"].encode(), r["lang"]) for r in rows.select("text", "lang").collect()]
 
 
