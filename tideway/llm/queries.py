@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, pieces, pii, quality, secrets, toxicity
+from . import chat, decontam, langid, pieces, pii, quality, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(_read(spark, sf_dir, "conversations"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
+    "op8_chat_format": op8_chat_format,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
