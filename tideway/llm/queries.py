@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, pieces, pii, quality, secrets, toxicity
+from . import chat, decontam, jaccard, langid, pieces, pii, quality, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_read(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair(_read(spark, sf_dir, "conversations"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_format": op8_chat_format,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
