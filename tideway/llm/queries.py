@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, jaccard, langid, pieces, pii, quality, secrets, toxicity
+from . import chat, decontam, jaccard, langid, pieces, pii, quality, repeats, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.query(_read(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(_read(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_read(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
