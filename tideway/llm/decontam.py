@@ -162,20 +162,46 @@ def _report(batches, index):
 REPORT = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
+def _index(docs: DataFrame, cut: DataFrame, text_col: str):
+    """The broadcast index of the windows cut, each by its shingle that is rarest in docs."""
+    context = docs.sparkSession.sparkContext
+    distinct = cut.select("shingle", F.when(F.col("short"), F.col("n")).otherwise(SHINGLE).alias("s")).distinct().collect()
+    by_size = {s: np.unique(np.array([r["shingle"] for r in distinct if r["s"] == s], np.int64).view(np.uint64)) for s in {r["s"] for r in distinct}}
+    return context.broadcast(Index(prefixes(cut, shingle_counts(docs, text_col, context.broadcast(by_size))).collect()))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """row, n_words, n_hit, items (with an occurring window, sorted) and spans (byte ranges of the hit words) for every row of docs."""
-    spark = docs.sparkSession
     cut = materialize(windows(benchmark, item_col, item_text))
     if cut.count() > most:
         return join_windows(docs, cut, row_col, text_col)
-    distinct = cut.select("shingle", F.when(F.col("short"), F.col("n")).otherwise(SHINGLE).alias("s")).distinct().collect()
-    by_size = {s: np.unique(np.array([r["shingle"] for r in distinct if r["s"] == s], np.int64).view(np.uint64)) for s in {r["s"] for r in distinct}}
-    chosen = prefixes(cut, shingle_counts(docs, text_col, spark.sparkContext.broadcast(by_size)))
-    index = spark.sparkContext.broadcast(Index(chosen.collect()))
+    index = _index(docs, cut, text_col)
     kind = docs.schema[row_col].dataType.simpleString()
     return docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text")).mapInArrow(lambda batches: _report(batches, index.value), f"row {kind}, {REPORT}")
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of docs without a hit word, with the columns of docs."""
+    cut = materialize(windows(benchmark, item_col, item_text))
+    if cut.count() > most:
+        marked = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+        hit = join_windows(marked, cut, "__row", text_col).filter("n_hit > 0").select(F.col("row").alias("__row"))
+        return marked.join(hit, "__row", "left_anti").select(*docs.columns)
+    index = _index(docs, cut, text_col)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(at))
+            clean = np.ones(batch.num_rows, bool)
+            for a, b in blocks(offsets):
+                for _, _, text, _ in _hits(_words(data, offsets, a, b), index.value):
+                    clean[a + text] = False
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -> DataFrame:
     """find() without a broadcast: the documents' shingles and windows are rows of a shuffle join. Rows must have distinct row_col."""
     sizes = [r["n"] for r in cut.select("n").distinct().collect()]  # at most WINDOW of them
