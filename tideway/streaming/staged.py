@@ -24,5 +24,5 @@ def deliver_stream(spark: SparkSession, staging: str, folder: str, ledger: str,
     def one(batch: DataFrame, _: int) -> None:
         deliver(batch.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"), folder, ledger)
 
-    stream = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staging).select("path", "length")
+    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet").load(staging).select("path", "length")
     stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
