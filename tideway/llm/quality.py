@@ -168,3 +168,34 @@ def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source
     """The rows of docs that the rules keep, with the columns of docs."""
     counted = materialize(with_counts(docs, text_col, "__q_"))
     return judged(counted, lang_col, source_col, "__q_").filter(F.col("__q_kept")).select(*docs.columns)
+
+
+def _sql() -> str:
+    values = {"symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "word_chars": ("word_chars", "n_words")}
+    per_mille = lambda m: f"CASE WHEN {values[m][1]} > 0 THEN 1000 * {values[m][0]} // greatest({values[m][1]}, 1) ELSE 0 END"
+    longs = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {per_mille(m)} AS v FROM m WHERE n_words > 0" for m in METRICS)
+    level = lambda keys: (
+        f"SELECT {keys}metric, max(rows) AS rows, min(CASE WHEN 4 * below >= rows THEN bucket END) AS q1, min(CASE WHEN 4 * below >= 3 * rows THEN bucket END) AS q3 FROM (SELECT {keys}metric, bucket, sum(n) OVER (PARTITION BY {keys}metric ORDER BY bucket) AS below, "
+        f"sum(n) OVER (PARTITION BY {keys}metric) AS rows FROM (SELECT {keys}metric, bucket, sum(n) AS n FROM k GROUP BY ALL)) GROUP BY ALL"
+    )
+    above = "CASE o.metric " + " ".join(f"WHEN '{m}' THEN {a}" for m, (a, _) in METRICS.items()) + " END"
+    below = "CASE o.metric " + " ".join(f"WHEN '{m}' THEN {b}" for m, (_, b) in METRICS.items() if b is not None) + " END"
+    pick = lambda q: f"CASE WHEN o.rows >= {MIN_ROWS} THEN o.{q} WHEN l.rows >= {MIN_ROWS} THEN l.{q} ELSE t.{q} END"
+    return rf"""
+WITH w AS (SELECT *, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM documents),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3))),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g, (SELECT unnest([0, 1, 2]) AS j) WHERE c > 1 GROUP BY doc_id),
+m AS (SELECT doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0) AS word_chars, len(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+ len(ln) AS n_lines, len(ln) - len(list_distinct(ln)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+v AS ({longs}),
+k AS (SELECT lang, source, metric, v - v % CAST(pow(2, greatest(len(bin(CAST(v AS BIGINT))) - 7, 0)) AS BIGINT) AS bucket, count(*) AS n FROM v GROUP BY ALL),
+o AS ({level("lang, source, ")}), l AS ({level("lang, ")}), t AS ({level("")}),
+q AS (SELECT o.lang, o.source, o.metric, {pick("q1")} AS q1, {pick("q3")} AS q3, {above} AS above, {below} AS under FROM o LEFT JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric LEFT JOIN t ON o.metric = t.metric),
+bad AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, metric, v FROM ({" UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS metric, {per_mille(m)} AS v FROM m" for m in METRICS)})) x
+ JOIN q ON x.lang IS NOT DISTINCT FROM q.lang AND x.source IS NOT DISTINCT FROM q.source AND x.metric = q.metric WHERE v > q3 + greatest({FENCE} * (q3 - q1), above) OR v < q1 - greatest({FENCE} * (q3 - q1), under)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept FROM f LEFT JOIN bad ON bad.doc_id = f.doc_id
+"""
+
+
+SQL = _sql()

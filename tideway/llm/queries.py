@@ -63,7 +63,10 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": repeats.SQL,
     "op4_pii": pii.SQL,
     "op6_decontamination": decontam.SQL,
+    "op7_ngram_jaccard": jaccard.SQL,
     "op9_secrets": secrets.SQL,
+    "op10_quality_rules": quality.SQL,
 }

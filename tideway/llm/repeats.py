@@ -368,3 +368,15 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     base = keyed.select("id", "kid", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     joined = base.join(cut, ["kid", "th"], "left")
     return joined.select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, k, md5(substr(h, 2 * k + 1, 400)) AS g FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS k FROM d WHERE n >= 200)),
+twice AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+c AS (SELECT doc_id, k, CASE WHEN k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) <= 200 THEN 0 ELSE 1 END AS fresh FROM w JOIN twice USING (g)),
+s AS (SELECT doc_id, min(k) AS a, max(k) + 200 AS b FROM (SELECT doc_id, k, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM c) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
