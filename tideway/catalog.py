@@ -368,9 +368,9 @@ def decode_hstore(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     item = lambda c: F.concat(F.lit('"'), F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
     text = F.concat(F.lit('"name"=>'), item("p_name"), F.lit(', "brand"=>'), item("p_brand"), F.lit(', "size"=>'), F.when(F.col("p_size") % 2 == 0, "NULL").otherwise(F.col("p_size").cast("string")))
-    json = pgtext.decode_hstore(text)
+    json = pgtext.decode_hstore(F.col("t"))
     get = lambda k: F.get_json_object("j", f"$.{k}")
-    return part.select("p_partkey", json.alias("j")).select("p_partkey", get("name").alias("p_name"), get("brand").alias("p_brand"), get("size").alias("size"))
+    return part.select("p_partkey", text.alias("t")).select("p_partkey", json.alias("j")).select("p_partkey", get("name").alias("p_name"), get("brand").alias("p_brand"), get("size").alias("size"))
 
 
 @query("SELECT page_id, html FROM pages")

@@ -63,8 +63,8 @@ def decode_hstore_map(text: Column) -> Column:
         lambda v: F.when(F.startswith(v, F.lit('"')), _unquote(v)).when(F.upper(v) == "NULL", F.lit(None)).otherwise(v),
     )
     pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-    return _raise(fine, F.map_from_arrays(F.transform(last, lambda p: p["k"]), F.transform(last, lambda p: p["v"])), text, "hstore")
+    put = lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.create_map(p["k"], p["v"]))
+    return _raise(fine, F.aggregate(pairs, F.create_map().cast("map<string,string>"), put), text, "hstore")
 
 
 def decode_hstore(text: Column) -> Column:
