@@ -11,7 +11,8 @@ the prefixes. Then:
 2. In every bucket of a shared prefix n-gram, the member with the least place is the pivot; it
    makes candidates with the others: as many as members, not as pairs. Exact copies meet by
    the hash of their sets instead.
-3. Candidates are verified on the whole sets: the order is cut into FRAGMENTS vertical parts,
+3. Candidates whose parity maps (about two bits per n-gram) differ in more bits than the sets
+   may differ in n-grams are dropped; the others are verified on the whole sets: the order is cut into FRAGMENTS vertical parts,
    partial overlaps are counted part by part, and summed per pair.
 4. Links give components. Only buckets whose other members still lie in different
    components can hide a link; their pairs across components, within the size classes that
@@ -95,18 +96,28 @@ def order_ranks(docs: DataFrame) -> np.ndarray:
     return ranks
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The set as bits, each the parity of the n-grams that fall on it: of two sets, as many n-grams differ at least as bits do."""
+    bits = np.bincount((s & np.uint64((1 << max(6, len(s).bit_length())) - 1)).astype(np.int64), minlength=1 << max(6, len(s).bit_length())) & 1
+    return np.packbits(bits.astype(bool), bitorder="little").view(np.int64)
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """id, n (size of the set), h1 and h2 (hash of the set)."""
+    """id, n (size of the set), h1 and h2 (hash of the set) and its parity bits."""
 
     def run(batches):
         for batch in batches:
             n, h1, h2 = (np.zeros(batch.num_rows, np.uint64) for _ in range(3))
+            bits = []
             for i, s in _each(batch, 1):
+                bits.append(parities(s))
                 n[i], h1[i] = len(s), s.sum(dtype=np.uint64)
                 h2[i] = mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _long(n), _long(h1), _long(h2)], names=["id", "n", "h1", "h2"])
+            cuts = np.concatenate([[0], np.cumsum([len(b) for b in bits])])
+            bits = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _long(n), _long(h1), _long(h2), bits], names=["id", "n", "h1", "h2", "bits"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long")
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long, bits array<long>")
 
 
 def prefixes(docs: DataFrame, ranks) -> DataFrame:
@@ -152,11 +163,20 @@ def _possible(a: str, b: str) -> Column:
     return left >= _needed(F.col(f"{a}.n"), F.col(f"{b}.n"))
 
 
+def _differ(x: Column, y: Column) -> Column:
+    """Bits in which two parity maps differ; the longer is folded to the length of the other (sizes that may link differ by one doubling at most)."""
+    half = lambda z: (F.size(z) / 2).cast("int")
+    fold = lambda z, other: F.when(F.size(z) > F.size(other), F.zip_with(F.slice(z, 1, half(z)), F.slice(z, half(z) + 1, half(z)), lambda p, q: p.bitwiseXOR(q))).otherwise(z)
+    return F.aggregate(F.zip_with(fold(x, y), fold(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, b: a + b)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, ranks) -> DataFrame:
     """The pairs (a, b) that link, by partial overlaps of vertical fragments of their whole sets."""
-    x, y = (sizes.select(F.col("id").alias(i), *(F.col(c).alias(c + i) for c in ("n", "h1", "h2"))) for i in "ab")
-    open_ = pairs.join(x, "a").join(y, "b").filter("NOT (na = nb AND h1a = h1b AND h2a = h2b)").select("a", "b", "na", "nb")
-    open_ = materialize(open_.filter(F.least("na", "nb") >= _needed(F.col("na"), F.col("nb"))).distinct())
+    x, y = (sizes.select(F.col("id").alias(i), *(F.col(c).alias(c + i) for c in ("n", "h1", "h2", "bits"))) for i in "ab")
+    open_ = pairs.join(x, "a").join(y, "b").filter("NOT (na = nb AND h1a = h1b AND h2a = h2b)")
+    needed = _needed(F.col("na"), F.col("nb"))
+    open_ = open_.filter((F.least("na", "nb") >= needed) & (_differ(F.col("bitsa"), F.col("bitsb")) <= F.col("na") + F.col("nb") - 2 * needed))
+    open_ = materialize(open_.select("a", "b", "na", "nb").distinct())
     ends = open_.select(F.explode(F.array("a", "b")).alias("id"))
     flagged = ends.select(F.pmod(F.xxhash64("id"), F.lit(FLAGS)).alias("flag")).distinct().toArrow()["flag"].to_numpy()
     flags = np.zeros(FLAGS, bool)
