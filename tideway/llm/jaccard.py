@@ -215,7 +215,7 @@ def _sets(ids, out):
 
 def _copies(sizes: DataFrame) -> DataFrame:
     """Edges from exact copies to the first of them."""
-    first = sizes.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    first = materialize(sizes.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     return sizes.join(first, ["n", "h1", "h2"]).select(F.col("id").alias("u"), "v")
 
 
@@ -246,7 +246,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ranks = spark.sparkContext.broadcast(order_ranks(narrow))
     rows = prefixes(narrow.filter(F.col("id").isNotNull()), ranks)
     place = (F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftrightunsigned(F.xxhash64("id"), 24)).alias("place")
-    buckets = rows.select("token", place).groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    # written first, so that the join has plain exchanges on both sides and Spark can split hot n-grams
+    buckets = materialize(rows.select("token", place).groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (place == F.col("least")).alias("pivot"))
     shared = materialize(shared)
     p, m = shared.filter("pivot").alias("p"), shared.filter("NOT pivot").alias("m")
