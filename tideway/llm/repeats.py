@@ -283,8 +283,8 @@ def _windows(blocks_: DataFrame) -> DataFrame:
 def _search_hot(texts: DataFrame) -> DataFrame:
     """What _search finds, for grams of too many classes to gather."""
     cut = materialize(_blocks(texts))
-    classes = cut.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("gram").alias("gram"), F.max("seg").alias("seg"), F.max("off").alias("off"))
-    sizes = classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).filter("total > 1")
+    classes = materialize(cut.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n")))
+    sizes = materialize(classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).filter("total > 1"))
     classes = materialize(classes.join(sizes, "key"))
     whole = cut.join(classes.filter("n > 1").select("key", "whole"), ["key", "whole"])
     whole = whole.select("gram", "seg", "off", F.lit(0).alias("lo"), (F.octet_length("bytes") - SPAN + 1).alias("hi"))
@@ -321,7 +321,8 @@ def _texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
 def spans(docs: DataFrame) -> DataFrame:
     """kid, th, start, end: byte stretches made of windows that repeat, of docs (kid, th, text); they may overlap."""
     owned = _owned(docs)
-    repeated = owned.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("a"), F.max("seg").alias("z")).filter("c > 1")
+    # the small side of each join on a gram is written first: a join of plain exchanges, whose hot grams Spark can split
+    repeated = materialize(owned.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("a"), F.max("seg").alias("z")).filter("c > 1"))
     shared = materialize(owned.join(repeated, "gram").select("gram", "seg", "kid", "th", "at", (F.col("a") != F.col("z")).alias("multi")))
     classes = shared.groupBy("gram", "seg").agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), F.min(F.struct("kid", "th", "at")).alias("r"))
     classes = materialize(classes.select("gram", "seg", "n", "multi", "r.*"))
@@ -329,7 +330,7 @@ def spans(docs: DataFrame) -> DataFrame:
     full = shared.join(classes.filter("n > 1").select("gram", "seg"), ["gram", "seg"])
     full = full.select("kid", "th", start(F.lit(0)).alias("start"), (F.shiftright("at", 16) - F.col("at").bitwiseAND(255) + SPAN).alias("end"))
     several = classes.filter("multi")
-    counts = several.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).filter("fewest = 1")  # else all its classes repeat whole
+    counts = materialize(several.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).filter("fewest = 1"))  # else all its classes repeat whole
     reps = several.join(counts, "gram").select("kid", "th", "gram", "seg", "at", (F.col("m") > LIMIT).alias("hot"))
     texts = materialize(_texts(docs, reps))
     found = _search(texts.filter("NOT hot").select(F.col("gram").alias("key"), "gram", "seg", F.lit(0).alias("off"), "bytes")).union(_search_hot(texts.filter("hot")))
