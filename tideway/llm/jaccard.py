@@ -221,7 +221,7 @@ def _copies(sizes: DataFrame) -> DataFrame:
 
 def _hidden(shared: DataFrame, reached: DataFrame) -> DataFrame:
     """Pairs (a, b) in one bucket but in different components, which no pivot has compared."""
-    labelled = shared.filter("NOT pivot").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = shared.filter("NOT pivot AND several").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
     left = materialize(labelled.join(mixed, "token").select("token", "id", "n", "pos", "component"))
     size_class = lambda n: F.floor(F.ln(n) * 20).cast("int")
@@ -247,10 +247,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = prefixes(narrow.filter(F.col("id").isNotNull()), ranks)
     place = (F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftrightunsigned(F.xxhash64("id"), 24)).alias("place")
     # written first, so that the join has plain exchanges on both sides and Spark can split hot n-grams
-    buckets = materialize(rows.select("token", place).groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
-    shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (place == F.col("least")).alias("pivot"))
+    buckets = materialize(rows.select("token", place).groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (place == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
     shared = materialize(shared)
-    p, m = shared.filter("pivot").alias("p"), shared.filter("NOT pivot").alias("m")
+    p, m = shared.filter("pivot").alias("p"), shared.alias("m")
     star = p.join(m, (F.col("p.token") == F.col("m.token")) & (F.col("p.id") != F.col("m.id")) & _possible("p", "m"))
     pairs = star.select(F.col("p.id").alias("a"), F.col("m.id").alias("b")).distinct()
     links = _copies(sizes).union(verified(narrow, pairs, sizes.filter(F.col("id").isNotNull()), ranks))
