@@ -17,8 +17,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id stays."""
-    return jaccard.keep_first(docs)
+    """Of each group of linked documents one stays: the one with the least doc_id, nulls last."""
+    return jaccard.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,19 @@ def test_null_ids_repeats_and_clashing_columns(spark):
     assert jaccard.keep_first(df).columns == df.columns
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    t, u, v = (" ".join(f"{c}{i}" for i in range(30)) for c in "wuv")
+    rows = [(None, t, 1), (5, t, 2), (5, t, 2), (9, t + " x", 3), (7, None, 4), (None, u, 5), (None, u + " x", 6), (3, v, 7), (3, u + " y", 8), (None, None, 9), (4, v, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component long").repartition(3)
+    for docs in (df, df.union(df)):
+        kept = corpus_pipeline.ngram_jaccard(spark, docs, "")
+        assert kept.columns == df.columns
+        assert sorted(r["component"] for r in kept.collect() if r["text"]) == [2, 7, 8]
+        assert sorted(r["component"] for r in kept.collect() if not r["text"]) == sorted(r["component"] for r in docs.collect() if not r["text"])
+
+
 def test_empty(empty):
     assert jaccard.join(empty).count() == 0
 

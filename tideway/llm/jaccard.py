@@ -268,6 +268,17 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return kept.unionByName(docs.filter(F.col(id_col).isNull()))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of linked rows, with the columns of docs: that of the least id, nulls last.
+
+    Every row is a node of its own under a written number, so repeated and null ids are grouped by their texts like all others.
+    """
+    marked = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    ids = marked.select("__row", F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"))
+    first = join(marked, "__row", text_col).join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("none", "id", "__row")).alias("r"))
+    return marked.join(first.select(F.col("r.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+
+
 SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
