@@ -220,6 +220,17 @@ def test_language(spark):
     assert {r["lang_pred"] for r in none.collect()} == {"und"} and langid.query(df.limit(0)).count() == 0
 
 
+def test_language_sample_leaves_no_language_out(spark, monkeypatch):
+    """Beside large languages: a small one, one of long texts only, and one of a few rows beside many copies."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 60)
+    rows = [(i, f"text {i}", f"big{i % 3}") for i in range(3000)] + [(9000 + i, f"few {i}", "small") for i in range(10)]
+    rows += [(9100 + i, "ü" * 15_000 + str(i), "long") for i in range(3)] + [(None, "copy", "same")] * 2000 + [(None, f"other {i}", "same") for i in range(5)]
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    count = {v: sum(x == v for _, x in got) for v in ("big0", "big1", "big2", "small", "long", "same")}
+    assert count == {"big0": 20, "big1": 20, "big2": 20, "small": 10, "long": 3, "same": 6}
+    assert max(len(t) for t, _ in got) <= langid.SAMPLE_BYTES
+
+
 def test_codewords_keep_their_distance():
     for n in (1, 2, 4, 5, 12):
         code = langid.codewords(n)

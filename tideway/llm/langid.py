@@ -5,8 +5,10 @@ n-grams (one to three bytes, letters only, ASCII lower-cased) is trained in nump
 margins are decoded to the codeword with the least weighted loss, where a bit weighs as much
 as its classifier was right in training; a small lead over the runner-up flags ambiguity.
 
-Training takes a bounded sample: for each language about SAMPLE_PER_LANG rows with at most
-SAMPLE_BYTES bytes, chosen by a hash of the id, so that no language is gathered in one task.
+Training takes a bounded sample: for each language at most SAMPLE_PER_LANG distinct rows, or with
+many languages an equal share of SAMPLE_ROWS (LEAST_PER_LANG at least), and of each text the
+first SAMPLE_BYTES bytes. Rows are chosen by a hash of id and text below a threshold for the
+language, so that no language is gathered in one task and none is left out.
 Prediction covers every whole text; the model is a table of FEATURES x bits numbers.
 
 Defined results: a null text, or one without a letter, gives 'und' and score 0; with no
@@ -16,7 +18,7 @@ it; repeated rows get equal predictions; other columns are left alone.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .textbytes import LOWER, blocks, byte_class, text_buffer
@@ -24,6 +26,7 @@ from .textbytes import LOWER, blocks, byte_class, text_buffer
 FEATURES = 1 << 12
 SAMPLE_PER_LANG = 400
 SAMPLE_ROWS = 20_000
+LEAST_PER_LANG = 20
 SAMPLE_BYTES = 20_000
 EPOCHS = 60
 AMBIGUOUS = 0.25
@@ -108,13 +111,19 @@ def fit(texts: list[bytes], langs: list[str]) -> Model | None:
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
     """The bounded training sample, as rows (text, lang)."""
-    use = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col).between(1, SAMPLE_BYTES)))
+    # more characters than this are more bytes too; the bytes are cut below
+    text = F.when(F.octet_length(text_col) > SAMPLE_BYTES, F.substring(text_col, 1, SAMPLE_BYTES)).otherwise(F.col(text_col))
+    use = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) > 0))
+    use = use.select(F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit("langid")).alias("row"))
     # one count per language: the model has a codeword for each of them anyway
-    counts = use.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
-    most = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, SAMPLE_PER_LANG / r["n"])))) for r in counts), F.lit(0))
-    drawn = use.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")), F.lit(1 << 30)).alias("draw"))
-    rows = drawn.filter(F.col("draw") < most).orderBy("draw", "text").limit(SAMPLE_ROWS)
-    return [(r["text"].encode(), r["lang"]) for r in rows.select("text", "lang").collect()]
+    counts = use.groupBy("lang").agg(F.approx_count_distinct("row").alias("n")).collect()
+    share = min(SAMPLE_PER_LANG, max(SAMPLE_ROWS // max(len(counts), 1), LEAST_PER_LANG))
+    # twice the share is drawn, so that the count of a language hardly falls short of it
+    most = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, 2 * share / max(r["n"], 1))))) for r in counts), F.lit(0))
+    drawn = use.withColumn("draw", F.pmod("row", F.lit(1 << 30))).filter(F.col("draw") < most).dropDuplicates(["lang", "draw", "row"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "row"))
+    rows = drawn.withColumn("place", place).filter(F.col("place") <= share).orderBy("draw", "row", "lang").select("text", "lang").collect()
+    return [(r["text"].encode()[:SAMPLE_BYTES], r["lang"]) for r in rows]
 
 
 def predict(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
