@@ -145,6 +145,18 @@ def test_decontamination(spark, documents, rows, most):
     assert decontam.query(documents.limit(0), bench).count() == 0
 
 
+def test_decontamination_paths_agree_on_null_and_repeated_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    t, u = " ".join(words), " ".join(f"u{i}" for i in range(30))
+    docs = [(None, t), (None, "clean text"), (5, t), (5, "x é " + u), (5, t), (7, f"{u} gap {' '.join(words[5:17])} gap short item"), (None, None), (8, " ".join(words[30:50] + words[:12]))]
+    bench = spark.createDataFrame([("a", " ".join(words[3:20])), ("b", " ".join(words[25:])), ("c", u), ("d", "short item"), (None, u)], "item_id string, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    small, large = (sorted(map(str, decontam.find(df, bench, "doc_id", most=most).collect())) for most in (decontam.BROADCAST_ROWS, 0))
+    assert small == large and len(large) == len(docs)
+    clean = decontam.keep_clean(df, bench, most=0).collect()
+    assert sorted(map(str, clean)) == sorted(map(str, df.filter("text IS NULL OR text = 'clean text'").collect()))
+
+
 def test_pieces(spark, documents, rows, empty):
     got = {r["doc_id"]: r for r in pieces.query(documents).collect()}
     again = {r["doc_id"]: r for r in pieces.query(documents.repartition(5)).collect()}

@@ -10,7 +10,9 @@ before or end after the text (length and positional bounds), and verify the rest
 hash of the whole window.
 
 The benchmark's windows are broadcast while they and their shingles are at most BROADCAST_ROWS
-rows, which is checked; beyond it the same join runs as a shuffle join (join_windows).
+rows, which is checked; beyond it the same join, with the same prefixes and bounds, runs as a
+shuffle join over rows with written numbers (join_windows). Only bit maps of bounded size are
+broadcast then: they spare most of the documents' shingles the shuffle, and change no result.
 
 Defined results: null texts and texts without a word have no windows and are never hit; an
 item that repeats another is reported besides it; repeated documents are judged alike; a
@@ -19,7 +21,7 @@ null item id is reported as an empty string; an empty benchmark leaves everythin
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import materialize
@@ -28,6 +30,8 @@ from .textbytes import ALNUM, Words, blocks, text_buffer
 WINDOW = 10
 SHINGLE = 5
 BROADCAST_ROWS = 300_000
+#: Bits of the largest map (16 MB); beyond, more shingles pass it and drop out in the join.
+MOST_BITS = 1 << 27
 
 #: One row per window: its words, hash, item, and a shingle with its place in the window. Windows under SHINGLE words are their own shingle.
 WINDOWS = "item string, n int, hash long, shingle long, place int, short boolean"
@@ -174,7 +178,9 @@ def find(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: str = "t
     """row, n_words, n_hit, items (with an occurring window, sorted) and spans (byte ranges of the hit words) for every row of docs."""
     cut = materialize(windows(benchmark, item_col, item_text))
     if cut.count() > most:
-        return join_windows(docs, cut, row_col, text_col)
+        marked = materialize(docs.select(F.col(row_col).alias("of"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("__row")))
+        found = join_windows(marked, cut, "__row", "text").withColumnRenamed("row", "__row")
+        return marked.select("__row", F.col("of").alias("row")).join(found, "__row").drop("__row")
     index = _index(docs, cut, text_col)
     kind = docs.schema[row_col].dataType.simpleString()
     return docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text")).mapInArrow(lambda batches: _report(batches, index.value), f"row {kind}, {REPORT}")
@@ -202,9 +208,43 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     return docs.mapInArrow(run, docs.schema)
 
 
+def _bits(keys: DataFrame, rows: int) -> np.ndarray:
+    """A bit map in which the bits of all keys (longs) are set, of at most MOST_BITS bits; tasks merge its words before the driver reads them."""
+    size = min(MOST_BITS, 1 << max(16, (16 * rows).bit_length()))
+    at = F.col("key").bitwiseAND(F.lit(size - 1))
+    words = keys.groupBy(F.shiftright(at, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST((key & {size - 1}) % 32 AS INT))")).alias("v")).toArrow()
+    out = np.zeros(size // 32, np.uint32)
+    out[words["w"].to_numpy()] = words["v"].to_numpy().astype(np.uint32)
+    return out
+
+
+def _set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(len(bits) * 32 - 1)
+    return (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+
 def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -> DataFrame:
-    """find() without a broadcast: the documents' shingles and windows are rows of a shuffle join. Rows must have distinct row_col."""
-    sizes = [r["n"] for r in cut.select("n").distinct().collect()]  # at most WINDOW of them
+    """find() without a broadcast index: the documents' shingles are rows of shuffle joins. Rows must have distinct, written numbers row_col."""
+    context, rows = docs.sparkSession.sparkContext, cut.count()
+    sizes = sorted(r["n"] for r in cut.select("n").distinct().collect())  # at most WINDOW of them
+    used = context.broadcast(_bits(cut.select(F.col("shingle").alias("key")), rows))
+    narrow = docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text"))
+
+    def count(batches):
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for a, b in blocks(offsets):
+                w = _words(data, offsets, a, b)
+                for s in sorted({min(SHINGLE, k) for k in sizes}):
+                    h = w.windows(s)
+                    h, n = np.unique(h[_set(used.value, h)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+    counts = narrow.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
+    rare = materialize(prefixes(cut, counts))
+    # a window's prefix is looked for at its place only, so the bit is that of shingle, size and place
+    mixed = F.col("shingle").bitwiseXOR((F.col("n") * 16 + F.col("place")).cast("long"))
+    wanted = context.broadcast(_bits(rare.select(mixed.alias("key")), rows))
 
     def explode(batches):
         for batch in batches:
@@ -215,26 +255,32 @@ def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -
                 text_of = np.repeat(np.arange(b - a), np.diff(w.first))
                 base = (offsets[a:b] - offsets[a])[text_of]
                 for k in sizes:
-                    h = w.windows(k)
-                    ok = np.flatnonzero(text_of[: len(h)] == text_of[k - 1 :][: len(h)])
-                    whole = pa.array(h[ok].view(np.int64))
-                    s = min(SHINGLE, k)
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(a + text_of[ok])), pa.array(np.full(len(ok), k, np.int32)), whole, pa.array(w.windows(s)[ok].view(np.int64)), pa.array((ok - w.first[text_of[ok]]).astype(np.int64)), pa.array((w.starts[ok] - base[ok]).astype(np.int64)), pa.array((w.ends[ok + k - 1] - base[ok]).astype(np.int64))],
-                        names=["row", "n", "hash", "shingle", "word", "start", "end"],
-                    )
+                    s, whole = min(SHINGLE, k), w.windows(k)
+                    h = w.windows(s)
+                    for j in range(k - s + 1):
+                        start = np.flatnonzero(_set(wanted.value, h ^ np.uint64(16 * k + j))) - j
+                        start = start[(start >= 0) & (start + k <= len(text_of))]
+                        ok = start[text_of[start] == text_of[start + k - 1]]
+                        long = lambda x: pa.array(x.astype(np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(a + text_of[ok])), pa.array(np.full(len(ok), k, np.int32)), pa.array(whole[ok].view(np.int64)), pa.array(h[ok + j].view(np.int64)), pa.array(np.full(len(ok), j, np.int32)), long(ok - w.first[text_of[ok]]), long(w.starts[ok] - base[ok]), long(w.ends[ok + k - 1] - base[ok])],
+                            names=["row", "n", "hash", "shingle", "place", "word", "start", "end"],
+                        )
 
     kind = docs.schema[row_col].dataType.simpleString()
-    narrow = docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text"))
-    places = narrow.mapInArrow(explode, f"row {kind}, n int, hash long, shingle long, word long, start long, end long")
-    first = cut.filter("place = 0").select("n", "hash", "shingle", "item").distinct()
-    hits = materialize(places.join(first, ["shingle", "n", "hash"]))
-    items = hits.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    words = hits.select("row", F.explode(F.sequence("word", F.col("word") + F.col("n") - 1)).alias("word")).distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
-    spans = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    places = narrow.mapInArrow(explode, f"row {kind}, n int, hash long, shingle long, place int, word long, start long, end long")
+    hits = materialize(places.join(rare, ["shingle", "place", "n", "hash"]).select("row", "word", (F.col("word") + F.col("n")).alias("after"), "start", "end", "items"))
+    items = hits.select("row", F.explode("items").alias("item")).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # runs of hit words: a window that starts behind all before it opens one
+    by_word = Window.partitionBy("row").orderBy("word", "after")
+    before = F.max("after").over(by_word.rowsBetween(Window.unboundedPreceding, -1))
+    opened = hits.select("row", "word", "after", "start", "end").withColumn("opens", F.when(F.col("word") <= before, 0).otherwise(1))
+    runs = opened.withColumn("run", F.sum("opens").over(by_word.rowsBetween(Window.unboundedPreceding, 0))).groupBy("row", "run")
+    runs = runs.agg((F.max("after") - F.min("word")).alias("words"), F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = runs.groupBy("row").agg(F.sum("words").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     empty = Index([])
     total = narrow.mapInArrow(lambda batches: _report(batches, empty), f"row {kind}, {REPORT}").select("row", "n_words")
-    joined = total.join(items, "row", "left").join(words, "row", "left").join(spans, "row", "left")
+    joined = total.join(items, "row", "left").join(spans, "row", "left")
     return joined.select("row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"))
 
 
