@@ -93,6 +93,19 @@ def test_parquet_sink(spark, tmp_path):
             files.write_parquet(df, folder, prefix, codec)
 
 
+def test_chunks_keep_the_cap_where_later_rows_are_wider(spark, tmp_path):
+    text = lambda n: F.expr(f"array_join(transform(sequence(1, {n}), k -> sha2(concat_ws('-', id, k), 256)), '')")
+    wide, huge = text(30), text(3000)
+    df = spark.range(0, 23_001, 1, 1).select("id", F.when(F.col("id") == 23_000, huge).when(F.col("id") >= 20_000, wide).otherwise("x").alias("t"))
+    rows, made = files.write_parquet(df, str(tmp_path), "x", "snappy", "128KiB")
+    size = {p: os.path.getsize(p.removeprefix("file:")) for p in made}
+    assert rows == 23_001 and sorted(x for x in os.listdir(tmp_path) if not x.startswith(".")) == sorted(p.rpartition("/")[2] for p in made)
+    over = [p for p, n in size.items() if n > 128 * 1024]
+    assert len(over) == 1 and [r["id"] for r in spark.read.parquet(*over).collect()] == [23_000]
+    back = spark.read.parquet(*made)
+    assert back.count() == rows and back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
 def test_jsonl_keeps_nulls(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
     assert files.write_jsonl(df, str(tmp_path / "j")) == 2

@@ -65,11 +65,38 @@ def _bytes_per_row(df: DataFrame, codec: str, files: Files) -> float:
     return size / rows if rows else 1.0
 
 
+def _split(files: Files, df: DataFrame, staging: str, compression: str, cap: int) -> None:
+    """Rewrite the written files that are over the cap, until none is but those of one row.
+
+    Each pass groups them by the rows that a chunk of the cap may have, so it has few jobs, and rewrites nothing else.
+    """
+    spark, single = df.sparkSession, set()
+    while large := {p.rpartition("/")[2]: (p, n) for p, n in files.list(staging) if n > cap and p not in single}:
+        schema, classes = df.schema, {}
+        # Spark writes the names of part files without characters that a URI would escape
+        counts = spark.read.schema(schema).parquet(*[p for p, _ in large.values()]).groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).count().collect()
+        for name, rows in counts:
+            path, size = large[name]
+            if rows == 1:
+                single.add(path)
+            else:
+                classes.setdefault(int(max(1, FILL * rows * cap / size)).bit_length(), []).append((path, int(max(1, FILL * rows * cap / size))))
+        for found in classes.values():
+            part = f"{staging}/_split-{scratch(spark, 's').rpartition('-')[2]}"
+            spark.read.schema(schema).parquet(*[p for p, _ in found]).write.option("compression", CODECS[compression]).option("maxRecordsPerFile", min(n for _, n in found)).parquet(part)
+            for path, _ in files.list(part):
+                files.rename(path, f"{staging}/{path.rpartition('/')[2]}")
+            for path, _ in found:
+                files.delete(path)
+            files.delete(part)
+
+
 def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "snappy", max_file_size: str | None = None, estimate_from: DataFrame | None = None) -> tuple[int, list[str]]:
     """Write df under its own names into an existing folder; returns the rows and the files.
 
     Without a size it is one file, written by one task; with a size, tasks write chunks near the
-    cap in parallel, numbered from 1. Files are renamed into the folder after the whole write has
+    cap in parallel, numbered from 1; what is over the cap once written, as later rows are wider than
+    the first, is split until only files of a single row may be. Files are renamed into the folder after the whole write has
     succeeded; a failed write leaves nothing behind. No rows: no file. estimate_from: the frame whose
     first rows give the width of a row (df; another where df carries observations).
     """
@@ -90,6 +117,8 @@ def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "s
     try:
         writer.option("compression", CODECS[compression]).parquet(staging)
         rows, made = seen.get["rows"], []
+        if cap is not None and rows:
+            _split(files, df, staging, compression, cap)
         for i, (path, _) in enumerate(files.list(staging) if rows else [], 1):
             name = f"{folder.rstrip('/')}/{file_name(prefix, compression, None if cap is None else i)}"
             if files.exists(name):
