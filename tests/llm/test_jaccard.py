@@ -71,6 +71,22 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
         assert sorted(r["component"] for r in kept.collect() if not r["text"]) == sorted(r["component"] for r in docs.collect() if not r["text"])
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_long_words_of_like_structure_stay_apart(spark):
+    """Words on which polynomial hashes modulo a power of two collide, in both word classes."""
+    from tideway.llm import decontam
+
+    rows = [(i, " ".join(f"{p}{thue_morse(n, *ab)}" for p in ("", "x", "y", "z", "w"))) for i, (n, ab) in enumerate((n, ab) for n in (16, 63, 64, 65, 1024, 2048) for ab in ("ab", "ba"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()} == brute(rows)
+    bench = spark.createDataFrame([(str(i), t) for i, t in rows if i % 2], "item_id string, text string")
+    for most in (decontam.BROADCAST_ROWS, 0):
+        assert {r["row"]: r["items"] for r in decontam.find(df, bench, "doc_id", most=most).collect()} == {i: [str(i)] if i % 2 else [] for i, _ in rows}
+
+
 def test_empty(empty):
     assert jaccard.join(empty).count() == 0
 

@@ -4,6 +4,8 @@ A text column of a record batch is one run of bytes and an array of offsets, so
 that words and their hashes are found for all rows of a batch at once.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -61,11 +63,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES):
-    """Row ranges (a, b) of at most limit bytes each, or of one longer row."""
+def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES, rows: int = 1 << 20):
+    """Row ranges (a, b) of at most limit bytes and that many rows each, or of one longer row."""
     a, n = 0, len(offsets) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+        b = max(a + 1, min(a + rows, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1))
         yield a, b
         a = b
 
@@ -83,6 +85,28 @@ ALNUM = byte_class(lambda b: b >= 0x80 or chr(b).isalnum())
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
+#: Words up to this length are hashed by eight bytes at a time, all of a block together; longer ones by blake2b.
+SHORT = 64
+_MASK = np.array([(1 << (8 * r)) - 1 for r in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes and length. Every eight bytes are mixed into the state, so that no two words of one length collide by their structure."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from every place on
+    size = ends - starts
+    h, at = size.astype(np.uint64) * _STEP, np.arange(len(size))
+    for k in range(0, SHORT, 8):
+        at = at[size[at] > k]
+        if not len(at):
+            break
+        h[at] = mix(h[at] ^ (eight[starts[at] + k] & _MASK[np.minimum(size[at] - k, 8)]))
+    for i in np.flatnonzero(size > SHORT):
+        h[i] = int.from_bytes(hashlib.blake2b(padded[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 class Words:
     """The words of a block of texts: first and last byte + 1, hash, and the first word of each text."""
 
@@ -97,11 +121,7 @@ class Words:
         change = inside[1:] != inside[:-1]
         self.starts = np.flatnonzero((change | edge) & inside[1:])
         self.ends = np.flatnonzero((change | edge) & inside[:-1])
-        codes = BYTE_CODES[LOWER] if lower else BYTE_CODES
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes[data] * powers(_BASE, n), out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * powers(_BASE_INV, n + 1)[self.starts]
-        self.hashes = mix(h + (self.ends - self.starts).astype(np.uint64) * _STEP)
+        self.hashes = word_hashes(LOWER[data] if lower else data, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, offsets)
 
     def windows(self, k: int) -> np.ndarray:
