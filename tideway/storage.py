@@ -1,6 +1,7 @@
 """Scratch folders and small file-system steps, through Hadoop's file systems so that any store works."""
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -8,14 +9,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def scratch(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh path for intermediate tables, shared by driver and executors (spark.checkpoint.dir; where it is unset, a temporary folder)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder in local mode, and one in the warehouse on a cluster.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
+    if root:
+        return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if spark.sparkContext.applicationId not in _own:
+        _own[spark.sparkContext.applicationId] = root = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return _own[spark.sparkContext.applicationId]
+
+
+_own: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 class Files:
