@@ -1,29 +1,52 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Cutting lineage through tables in the shared folder."""
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..storage import Files, scratch
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a temporary one that goes at exit."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-ck-", dir="/tmp")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+_scopes: list[list[str]] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write df as Parquet into the shared folder and return the written table.
 
-    The table outlives any executor, and later readers do not recompute df.
+    The table outlives any executor, and later readers do not recompute df. keep: it also outlives the innermost scope().
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
+    for made in _scopes[-2:-1] if keep else _scopes[-1:]:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """The tables that are materialized in the block are deleted at its end, but for kept ones; what leaves the block must read these alone."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            Files(spark).delete(path)
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of df by their quoted names, whatever they hold."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(df: DataFrame, prefix: str) -> str:
+    """prefix, with more underscores before it until no column of df starts with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
