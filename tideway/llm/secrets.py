@@ -4,7 +4,12 @@ Patterns propose candidates in every text. A hash of each candidate's value is t
 aggregated over the whole corpus by distinct repositories and owners: a value that SHARED
 or more of either hold is a widely copied example; any other looks like a live credential
 of its owner. Texts never leave the scan: only spans and hashes are shuffled, candidates
-are pre-aggregated by (hash, repository, owner), and no value reaches the driver.
+are pre-aggregated by (hash, repository, owner), and no value reaches the driver. The
+frequencies are written before they are joined back, so that Spark can split the uses of
+a value that is copied very often.
+
+Where owner_col is not given, the repository is the owner too, and both counts are equal:
+documents has one such column, source, so op9's query has this one dimension.
 
 Defined results: a null or empty text has no spans; a null repository or owner counts as
 one of its own; a repeated row is judged like its copy and adds no repository; an empty
@@ -19,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import fresh, materialize, own_columns, quoted
 
 SHARED = 3
 #: kind: (pattern, group that holds the value, least length of the value), in the order of ties
@@ -53,7 +58,8 @@ _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 
 def with_spans(docs: DataFrame, text_col: str, keep: list[str], out: str) -> DataFrame:
     """The columns keep of docs and its candidates."""
-    schema = docs.select(*keep).withColumn(out, F.lit(None).cast(SPANS)).schema
+    columns = [F.col(quoted(c)) for c in keep]
+    schema = docs.select(*columns).withColumn(out, F.lit(None).cast(SPANS)).schema
 
     def scan(batches):
         for batch in batches:
@@ -63,24 +69,24 @@ def with_spans(docs: DataFrame, text_col: str, keep: list[str], out: str) -> Dat
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(found, _TYPE)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, out])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(scan, schema)
+    return docs.select(*columns, F.col(quoted(text_col)).alias("__text")).mapInArrow(scan, schema)
 
 
 def ownership(found: DataFrame, repo: str, owner: str, spans: str) -> DataFrame:
     """hash, n_repos, n_owners, n_uses and shared: the corpus-wide frequency of each candidate."""
-    held = found.select(F.explode(spans).alias("s"), F.col(repo).alias("repo"), F.col(owner).alias("owner")).select("s.hash", "repo", "owner")
+    held = found.select(F.explode(spans).alias("s"), F.col(quoted(repo)).alias("repo"), F.col(quoted(owner)).alias("owner")).select("s.hash", "repo", "owner")
     once = held.groupBy("hash", "repo", "owner").agg(F.count(F.lit(1)).alias("uses"))
     distinct = lambda c: F.countDistinct(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")))  # noqa: E731  a null is one of its own
     stats = once.groupBy("hash").agg(distinct("repo").alias("n_repos"), distinct("owner").alias("n_owners"), F.sum("uses").alias("n_uses"))
     return stats.withColumn("shared", (F.col("n_repos") >= SHARED) | (F.col("n_owners") >= SHARED))
 
 
-def _verdicts(found: DataFrame, stats: DataFrame, row: str, spans: str) -> DataFrame:
-    """row, live (array of the spans that look live, by start), n_live, n_shared."""
-    uses = found.select(row, F.explode(spans).alias("s")).select(row, "s.*")
-    joined = uses.join(stats.select("hash", "shared"), "hash")
+def _verdicts(found: DataFrame, repo: str, owner: str, row: str, spans: str) -> DataFrame:
+    """row, live (array of the spans that look live, by start), n_live, n_shared of the rows with a candidate."""
+    shared = materialize(ownership(found, repo, owner, spans).select("hash", "shared"))
+    uses = found.select(F.col(row).alias("row"), F.explode(spans).alias("s")).select("row", "s.*")
     span = F.struct("start", "end")
-    return joined.groupBy(row).agg(
+    return uses.join(shared, "hash").groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(~F.col("shared"), span))).alias("live"),
         F.count_if(~F.col("shared")).alias("n_live"),
         F.count_if(F.col("shared")).alias("n_shared"),
@@ -93,35 +99,44 @@ def _digest(spans):
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str | None = None) -> DataFrame:
     """One row per row of docs: counts by kind, digest of the base spans, all spans, n_live and n_shared."""
-    narrow = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(repo_col).alias("repo"), F.col(owner_col or repo_col).alias("owner"), F.monotonically_increasing_id().alias("row")
-    )
+    named = ((id_col, "doc_id"), (text_col, "text"), (repo_col, "repo"), (owner_col or repo_col, "owner"))
+    narrow = docs.select(*(F.col(quoted(c)).alias(n) for c, n in named), F.monotonically_increasing_id().alias("row"))
     found = materialize(with_spans(narrow, "text", ["row", "doc_id", "repo", "owner"], "spans"))
-    verdicts = _verdicts(found, ownership(found, "repo", "owner", "spans"), "row", "spans")
+    verdicts = _verdicts(found, "repo", "owner", "row", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return found.join(verdicts, "row", "left").select("doc_id", *map(count, BASE), F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"), zero("n_live"), zero("n_shared"))
 
 
+def masked(text: str, live: list[dict], mask: str) -> str:
+    """text with mask for each stretch that spans (by start) cover; those that overlap share one."""
+    out, at = [], 0
+    for s in live:
+        if s["start"] >= at:
+            out += [text[at : s["start"]], mask]
+        at = max(at, s["end"])
+    return "".join([*out, text[at:]])
+
+
 def redact(docs: DataFrame, text_col: str = "text", repo_col: str = "source", owner_col: str | None = None, mask: str = "[SECRET]") -> DataFrame:
     """docs with each live-looking secret replaced by mask; examples stay. Only texts with a candidate are shuffled."""
-    row, spans = "__row", "__spans"
-    marked = docs.withColumn(row, F.monotonically_increasing_id())
-    found = materialize(with_spans(marked, text_col, [*docs.columns, row], spans))
-    repo, owner = repo_col, owner_col or repo_col
-    verdicts = _verdicts(found, ownership(found, repo, owner, spans), row, spans)
-    text = F.col(text_col)
-
-    def cut(acc, s):
-        start = F.greatest(acc["at"], s["start"])
-        out = F.concat(acc["out"], F.substr(text, acc["at"] + 1, start - acc["at"]), F.lit(mask))
-        return F.when(s["end"] > acc["at"], F.struct(s["end"].alias("at"), out.alias("out"))).otherwise(acc)
-
-    masked = F.aggregate("live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    hit = found.filter(F.size(spans) > 0).join(verdicts.select(row, "live"), row)
-    hit = hit.withColumn(text_col, F.when(F.size("live") > 0, masked).otherwise(text))
-    return found.filter(F.size(spans) == 0).select(*docs.columns).unionByName(hit.select(*docs.columns))
+    out = fresh(docs, "__s_")
+    row, spans = f"{out}row", f"{out}spans"
+    found = materialize(with_spans(docs.withColumn(row, F.monotonically_increasing_id()), text_col, [*docs.columns, row], spans))
+    verdicts = _verdicts(found, repo_col, owner_col or repo_col, row, spans).select(F.col("row").alias(row), F.col("live").alias(f"{out}live"))
+    names, at = docs.columns, docs.columns.index(text_col)
+    n = len(names)
+
+    def cut(batches):
+        for batch in batches:
+            texts = [masked(t, live, mask) if live else t for t, live in zip(batch.column(at).to_pylist(), batch.column(n).to_pylist(), strict=True)]
+            columns = batch.columns[:n]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    hit = found.filter(F.size(spans) > 0).join(verdicts, row).select(*own_columns(docs), f"{out}live").mapInArrow(cut, docs.schema)
+    return found.filter(F.size(spans) == 0).select(*own_columns(docs)).union(hit)
 
 
 def _sql() -> str:
