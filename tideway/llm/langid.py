@@ -8,8 +8,9 @@ as its classifier was right in training; a small lead over the runner-up flags a
 Training takes a bounded sample: for each language at most SAMPLE_PER_LANG distinct rows, or with
 many languages an equal share of SAMPLE_ROWS (LEAST_PER_LANG at least), and of each text the
 first SAMPLE_BYTES bytes. Rows are chosen by a hash of id and text below a threshold for the
-language, so that no language is gathered in one task and none is left out.
-Prediction covers every whole text; the model is a table of FEATURES x bits numbers.
+language, so that no language is gathered in one task and none is left out. The model has a
+codeword and the sample a row count for each language, so more than MOST_LANGS languages are an
+error, not a cut. Prediction covers every whole text; the model is a table of FEATURES x bits numbers.
 
 Defined results: a null text, or one without a letter, gives 'und' and score 0; with no
 training row at all every text gives 'und'; with one language every text with a letter gets
@@ -30,6 +31,9 @@ LEAST_PER_LANG = 20
 SAMPLE_BYTES = 20_000
 EPOCHS = 60
 AMBIGUOUS = 0.25
+MOST_LANGS = 2000
+#: Texts whose features (FEATURES numbers each) are held at once.
+ROWS = 512
 _LETTER = byte_class(lambda b: b >= 0x80 or chr(b).isalpha())
 
 
@@ -116,7 +120,9 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
     use = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) > 0))
     use = use.select(F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit("langid")).alias("row"))
     # one count per language: the model has a codeword for each of them anyway
-    counts = use.groupBy("lang").agg(F.approx_count_distinct("row").alias("n")).collect()
+    counts = use.groupBy("lang").agg(F.approx_count_distinct("row").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     share = min(SAMPLE_PER_LANG, max(SAMPLE_ROWS // max(len(counts), 1), LEAST_PER_LANG))
     # twice the share is drawn, so that the count of a language hardly falls short of it
     most = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, 2 * share / max(r["n"], 1))))) for r in counts), F.lit(0))
@@ -140,7 +146,7 @@ def predict(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col:
             n = batch.num_rows
             letters = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             lang, score, vague = np.full(n, "und", object), np.zeros(n), np.zeros(n, bool)
-            for a, b in blocks(offsets) if m else ():
+            for a, b in blocks(offsets, rows=ROWS) if m else ():
                 best, p, close = m.predict(features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
                 lang[a:b] = np.array(m.langs, object)[best]
                 score[a:b], vague[a:b] = p, close
