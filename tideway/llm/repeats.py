@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import materialize, quoted, scope
 from .textbytes import _BASE, _BASE_INV, BLOCK_BYTES, BYTE_CODES, blocks, mix, powers, text_buffer
 
 SPAN = 200
@@ -283,17 +283,18 @@ def _windows(blocks_: DataFrame) -> DataFrame:
 def _search_hot(texts: DataFrame) -> DataFrame:
     """What _search finds, for grams of too many classes to gather."""
     cut = materialize(_blocks(texts))
-    classes = materialize(cut.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n")))
+    # of each class its size and its first member, by which its bytes are found again: no class is joined with itself
+    classes = cut.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("gram", "seg", "off")).alias("r"))
+    classes = materialize(classes)
     sizes = materialize(classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).filter("total > 1"))
     classes = materialize(classes.join(sizes, "key"))
     whole = cut.join(classes.filter("n > 1").select("key", "whole"), ["key", "whole"])
     whole = whole.select("gram", "seg", "off", F.lit(0).alias("lo"), (F.octet_length("bytes") - SPAN + 1).alias("hi"))
     # one member of each class goes on
-    several = cut.join(classes.filter("m > 1").select("key", "whole", "m", "n"), ["key", "whole"])
-    one = several.groupBy("key", "whole").agg(F.max("m").alias("m"), F.max_by(F.struct("gram", "seg", "off", "bytes"), F.struct("gram", "seg", "off")).alias("r"))
-    one = materialize(one.select("key", "m", "r.*"))
+    first = classes.filter("m > 1").select("key", "m", "r.*")
+    one = materialize(cut.select("gram", "seg", "off", "bytes").join(first, ["gram", "seg", "off"]).select("key", "m", "gram", "seg", "off", "bytes"))
     single = _windows(one.filter(F.col("m") > LIMIT))
-    twice = single.groupBy("w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w")
+    twice = materialize(single.groupBy("w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w"))
     single = single.join(twice, "w").select("gram", "seg", "off", "lo", (F.col("lo") + 1).alias("hi"))
     return whole.union(_search(one.filter(F.col("m") <= LIMIT))).union(single)
 
@@ -320,7 +321,7 @@ def _texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """kid, th, start, end: byte stretches made of windows that repeat, of docs (kid, th, text); they may overlap."""
-    owned = _owned(docs)
+    owned = materialize(_owned(docs))
     # the small side of each join on a gram is written first: a join of plain exchanges, whose hot grams Spark can split
     repeated = materialize(owned.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("a"), F.max("seg").alias("z")).filter("c > 1"))
     shared = materialize(owned.join(repeated, "gram").select("gram", "seg", "kid", "th", "at", (F.col("a") != F.col("z")).alias("multi")))
@@ -341,10 +342,11 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every row of docs."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("kid"), F.xxhash64(text).alias("th"), text.alias("text"))
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    keyed = docs.select(F.col(quoted(id_col)).alias("id"), F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(-(1 << 63))).alias("kid"), F.xxhash64(text).alias("th"), text.alias("text"))
     narrow = keyed.select("kid", "th", "text")
-    found = materialize(spans(narrow))
+    with scope(docs.sparkSession):
+        found = materialize(spans(narrow), keep=True)
     merged = found.groupBy("kid", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))  # of one text
 
     def run(batches):
