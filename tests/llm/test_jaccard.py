@@ -108,3 +108,14 @@ def test_components(spark):
     edges = [(5, 3), (3, 9), (9, 1), (20, 21), (22, 21), (7, 7), (None, 4)] + [(100 + i, 101 + i) for i in range(40)]
     got = {r["id"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {1: 1, 3: 1, 5: 1, 9: 1, 20: 20, 21: 20, 22: 20} | {100 + i: 100 for i in range(41)}
+
+
+def test_hot_ngrams_are_ordered_last(documents, rows, monkeypatch):
+    """With all buckets hot the order is another one, and the result the same."""
+    monkeypatch.setattr(jaccard, "HOT", 1)
+    seen = []
+    monkeypatch.setattr(jaccard, "with_hot", lambda order, buckets, f=jaccard.with_hot: seen.append(f(order, buckets)) or seen[-1])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(documents).collect()}
+    assert got == brute(rows) and len(seen[0].hot) > 100
+    s = np.sort(np.concatenate([seen[0].hot[:50], np.arange(50, dtype=np.uint64)]))
+    assert ((seen[0].of(s) >= jaccard.SLOTS) == np.isin(s, seen[0].hot)).all() and len(set(seen[0].hot_ranks)) == len(seen[0].hot)

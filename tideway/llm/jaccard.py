@@ -3,7 +3,9 @@
 A text's set is its distinct shingles of five words. The n-grams get one global order, rare
 ones first: a count sketch of SLOTS counters over all documents gives each n-gram its slot's
 rank, and hashes break ties. Any order is right, and this one keeps frequent passages out of
-the prefixes. Then:
+the prefixes. In a corpus so large that a slot hides them, some come through; the prefixes
+that more than HOT texts share are counted exactly, ordered behind all others (MOST_HOT
+of them, the most frequent first, which bounds a list and no result), and the prefixes cut again. Then:
 
 1. Texts of at least 80 % similarity share an n-gram among the first 20 % of their orders
    (prefix), and at the first one that they share, enough must be left on both sides
@@ -30,12 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import materialize
+from .store import fresh, materialize, own_columns, quoted, scope
 from .textbytes import NON_SPACE, Words, blocks, mix, text_buffer
 
 SHINGLE = 5
 SLOTS = 1 << 18
 FRAGMENTS = 4
+#: Texts in a bucket from which its n-gram is ordered last, and how many such n-grams the order holds (16 MB).
+HOT, MOST_HOT = 10_000, 1 << 20
 #: Flags of the filter that spares most texts without a candidate the shuffle; those that pass by chance drop out in the join.
 FLAGS = 1 << 21
 
@@ -70,8 +74,26 @@ def _each(batch, column: int):
         yield from enumerate(sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), a)
 
 
-def order_ranks(docs: DataFrame) -> np.ndarray:
-    """Rank of each slot by its count over all documents. The sketch has SLOTS counters at any size of the input."""
+class Order:
+    """The global order: each slot's rank, and behind all slots the hot n-grams (sorted hashes, and their ranks)."""
+
+    def __init__(self, ranks: np.ndarray, hot: np.ndarray, hot_ranks: np.ndarray):
+        self.ranks, self.hot, self.hot_ranks = ranks, hot, hot_ranks
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        out = self.ranks[_slot(s)].astype(np.int64)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, s), len(self.hot) - 1)
+            known = self.hot[at] == s
+            out[known] = SLOTS + self.hot_ranks[at[known]]
+        return out
+
+    def fragment(self, s: np.ndarray) -> np.ndarray:
+        return np.minimum(self.of(s) * FRAGMENTS // SLOTS, FRAGMENTS - 1)
+
+
+def order_of(docs: DataFrame) -> Order:
+    """The order by the slots' counts over all documents. The sketch has SLOTS counters at any size of the input."""
 
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
@@ -91,9 +113,19 @@ def order_ranks(docs: DataFrame) -> np.ndarray:
     rows = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    ranks = np.empty(SLOTS, np.int64)
+    ranks = np.empty(SLOTS, np.int32)
     ranks[np.argsort(counts, kind="stable")] = np.arange(SLOTS)
-    return ranks
+    return Order(ranks, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def with_hot(order: Order, buckets: DataFrame) -> Order | None:
+    """order with the n-grams of buckets (token, c) over HOT texts behind all others, by their counts; None where there are none."""
+    rows = buckets.filter(F.col("c") > HOT).orderBy(F.desc("c"), "token").limit(MOST_HOT).select("token").toArrow()
+    hot = rows["token"].to_numpy().view(np.uint64)
+    if not len(hot):
+        return None
+    at = np.argsort(hot)
+    return Order(order.ranks, hot[at], (len(hot) - 1 - np.arange(len(hot)))[at])
 
 
 def parities(s: np.ndarray) -> np.ndarray:
@@ -120,19 +152,18 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long, bits array<long>")
 
 
-def prefixes(docs: DataFrame, ranks) -> DataFrame:
+def prefixes(docs: DataFrame, order) -> DataFrame:
     """token, id, n, pos: each text's prefix in the global order. Of copies within a batch, one is enough: copies meet by hash."""
 
     def run(batches):
         for batch in batches:
             ids, seen, out = batch.column(0), set(), []
-            rank = ranks.value
             for i, s in _each(batch, 1):
                 n = len(s)
                 key = s.tobytes() if n <= 16 else (n, int(s.sum(dtype=np.uint64)), int(mix(s).sum(dtype=np.uint64)))
                 if n and key not in seen:
                     seen.add(key)
-                    token = s[np.lexsort((s, rank[_slot(s)]))[: n - (4 * n + 4) // 5 + 1]]
+                    token = s[np.lexsort((s, order.value.of(s)))[: n - (4 * n + 4) // 5 + 1]]
                     out.append((i, n, token))
                 if len(out) >= 2000:
                     yield _rows(ids, out)
@@ -170,7 +201,7 @@ def _differ(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(fold(x, y), fold(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, b: a + b)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, ranks) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, order) -> DataFrame:
     """The pairs (a, b) that link, by partial overlaps of vertical fragments of their whole sets."""
     x, y = (sizes.select(F.col("id").alias(i), *(F.col(c).alias(c + i) for c in ("n", "h1", "h2", "bits"))) for i in "ab")
     open_ = pairs.join(x, "a").join(y, "b").filter("NOT (na = nb AND h1a = h1b AND h2a = h2b)")
@@ -185,12 +216,12 @@ def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, ranks) -> Data
     shared = spark.sparkContext.broadcast(np.packbits(flags))
 
     def cut(batches):
-        flags, rank = np.unpackbits(shared.value).astype(bool), ranks.value
+        flags = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             batch = batch.filter(pa.array(flags[batch.column(2).to_numpy(zero_copy_only=False)]))
             out = []
             for i, s in _each(batch, 1):
-                part = rank[_slot(s)] * FRAGMENTS // SLOTS
+                part = order.value.fragment(s)
                 out += [(i, f, s[part == f]) for f in range(FRAGMENTS)]
                 if len(out) >= 1000:
                     yield _sets(batch.column(0), out)
@@ -202,7 +233,8 @@ def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, ranks) -> Data
     parts = narrow.mapInArrow(cut, "id long, f int, tokens array<long>")
     of_b = open_.select("a", "b").join(parts.withColumnRenamed("id", "b"), "b")
     of_a = parts.select(F.col("id").alias("a"), "f", F.col("tokens").alias("of_a"))
-    partial = of_b.join(of_a, ["a", "f"]).select("a", "b", "f", F.size(F.array_intersect("tokens", "of_a")).alias("i"))
+    # written before it is grouped: a join of plain exchanges, in which Spark can split the partners of a pivot
+    partial = materialize(of_b.join(of_a, ["a", "f"]).select("a", "b", "f", F.size(F.array_intersect("tokens", "of_a")).alias("i")))
     overlap = partial.groupBy("a", "b", "f").agg(F.max("i").alias("i")).groupBy("a", "b").agg(F.sum("i").alias("i"))
     return overlap.join(open_, ["a", "b"]).filter("100 * i >= 80 * (na + nb - i)").select("a", "b")
 
@@ -221,9 +253,10 @@ def _copies(sizes: DataFrame) -> DataFrame:
 
 def _hidden(shared: DataFrame, reached: DataFrame) -> DataFrame:
     """Pairs (a, b) in one bucket but in different components, which no pivot has compared."""
-    labelled = shared.filter("NOT pivot AND several").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
-    left = materialize(labelled.join(mixed, "token").select("token", "id", "n", "pos", "component"))
+    labelled = shared.filter("NOT pivot AND several").join(reached, "id", "left")
+    labelled = materialize(labelled.select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")))
+    mixed = materialize(labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token"))
+    left = materialize(labelled.join(mixed, "token"))
     size_class = lambda n: F.floor(F.ln(n) * 20).cast("int")
     # the larger text (ties: the larger id) looks into the size classes that its place allows
     most = F.least(F.col("n"), F.floor(9 * (F.col("n") - F.col("pos")) / 4) - F.col("n"))
@@ -238,34 +271,44 @@ def _hidden(shared: DataFrame, reached: DataFrame) -> DataFrame:
     return x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
+def _buckets(narrow: DataFrame, order) -> tuple[DataFrame, DataFrame]:
+    """The prefixes with the place of each in its bucket, and the buckets of several texts: token, least (place of the pivot), c."""
+    place = F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftrightunsigned(F.xxhash64("id"), 24)
+    rows = prefixes(narrow.filter(F.col("id").isNotNull()), order).withColumn("place", place)
+    # written, so that the join has plain exchanges on both sides and Spark can split hot n-grams
+    return rows, materialize(rows.groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id of every row of docs; ids are integers."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sizes = materialize(digests(narrow))
-    ranks = spark.sparkContext.broadcast(order_ranks(narrow))
-    rows = prefixes(narrow.filter(F.col("id").isNotNull()), ranks)
-    place = (F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftrightunsigned(F.xxhash64("id"), 24)).alias("place")
-    # written first, so that the join has plain exchanges on both sides and Spark can split hot n-grams
-    buckets = materialize(rows.select("token", place).groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (place == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
-    shared = materialize(shared)
-    p, m = shared.filter("pivot").alias("p"), shared.alias("m")
-    star = p.join(m, (F.col("p.token") == F.col("m.token")) & (F.col("p.id") != F.col("m.id")) & _possible("p", "m"))
-    pairs = star.select(F.col("p.id").alias("a"), F.col("m.id").alias("b")).distinct()
-    links = _copies(sizes).union(verified(narrow, pairs, sizes.filter(F.col("id").isNotNull()), ranks))
-    links = materialize(links)
-    reached = components(links)
-    more = verified(narrow, _hidden(shared, reached), sizes, ranks)
-    final = components(links.union(more.select("a", "b")))
-    return sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    narrow = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text"))
+    with scope(spark):
+        sizes = materialize(digests(narrow))
+        order = spark.sparkContext.broadcast(order_of(narrow))
+        rows, buckets = _buckets(narrow, order)
+        if refined := with_hot(order.value, buckets):
+            order = spark.sparkContext.broadcast(refined)
+            rows, buckets = _buckets(narrow, order)
+        shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (F.col("place") == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
+        shared = materialize(shared)
+        p, m = shared.filter("pivot").alias("p"), shared.alias("m")
+        star = p.join(m, (F.col("p.token") == F.col("m.token")) & (F.col("p.id") != F.col("m.id")) & _possible("p", "m"))
+        pairs = star.select(F.col("p.id").alias("a"), F.col("m.id").alias("b")).distinct()
+        links = _copies(sizes).union(verified(narrow, pairs, sizes.filter(F.col("id").isNotNull()), order))
+        links = materialize(links)
+        reached = components(links)
+        more = verified(narrow, _hidden(shared, reached), sizes, order)
+        final = components(links.union(more.select("a", "b")))
+        found = sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        return materialize(found, keep=True)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the first of its group, with the columns of docs; rows with a null id stay."""
-    first = join(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__first")).distinct()
-    kept = docs.join(first, docs[id_col].cast("long") == F.col("__first"), "left_semi")
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    first = join(docs, id_col, text_col).filter(F.col(quoted(id_col)) == F.col("component_id")).select(F.col(quoted(id_col)).alias("__first")).distinct()
+    kept = docs.join(first, docs[quoted(id_col)].cast("long") == F.col("__first"), "left_semi")
+    return kept.unionByName(docs.filter(F.col(quoted(id_col)).isNull()))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,10 +316,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Every row is a node of its own under a written number, so repeated and null ids are grouped by their texts like all others.
     """
-    marked = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
-    ids = marked.select("__row", F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"))
-    first = join(marked, "__row", text_col).join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("none", "id", "__row")).alias("r"))
-    return marked.join(first.select(F.col("r.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    row = fresh(docs, "__row")
+    marked = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    ids = marked.select(F.col(row).alias("__row"), F.col(quoted(id_col)).isNull().alias("none"), F.col(quoted(id_col)).alias("id"))
+    groups = join(marked, row, text_col).select(F.col(row).alias("__row"), "component_id")
+    first = materialize(groups.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("none", "id", "__row")).alias("r")).select(F.col("r.__row").alias(row)))
+    return marked.join(first, row, "left_semi").select(*own_columns(docs))
 
 
 SQL = r"""
