@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import fresh, materialize, own_columns, quoted, scope
 from .textbytes import ALNUM, Words, blocks, text_buffer
 
 WINDOW = 10
@@ -64,7 +64,7 @@ def windows(benchmark: DataFrame, id_col: str, text_col: str, size: int = WINDOW
             as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(n, pa.int32()), as_long(h), as_long(s), pa.array(j, pa.int32()), pa.array(short, pa.bool_())], names=["item", "n", "hash", "shingle", "place", "short"])
 
-    return benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).mapInArrow(cut, WINDOWS)
+    return benchmark.select(F.col(quoted(id_col)).cast("string"), F.col(quoted(text_col))).mapInArrow(cut, WINDOWS)
 
 
 class Index:
@@ -106,7 +106,7 @@ def shingle_counts(docs: DataFrame, text_col: str, wanted) -> DataFrame:
             some = np.flatnonzero(total[s])
             yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[s][some])], names=["shingle", "n"])
 
-    return docs.select(text_col).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
+    return docs.select(quoted(text_col)).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
 
 
 def prefixes(cut: DataFrame, counts: DataFrame) -> DataFrame:
@@ -176,24 +176,28 @@ def _index(docs: DataFrame, cut: DataFrame, text_col: str):
 
 def find(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """row, n_words, n_hit, items (with an occurring window, sorted) and spans (byte ranges of the hit words) for every row of docs."""
-    cut = materialize(windows(benchmark, item_col, item_text))
-    if cut.count() > most:
-        marked = materialize(docs.select(F.col(row_col).alias("of"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("__row")))
-        found = join_windows(marked, cut, "__row", "text").withColumnRenamed("row", "__row")
-        return marked.select("__row", F.col("of").alias("row")).join(found, "__row").drop("__row")
-    index = _index(docs, cut, text_col)
+    spark, row, text = docs.sparkSession, F.col(quoted(row_col)), F.col(quoted(text_col))
+    with scope(spark):
+        cut = materialize(windows(benchmark, item_col, item_text))
+        if cut.count() > most:
+            marked = materialize(docs.select(row.alias("of"), text.alias("text"), F.monotonically_increasing_id().alias("__row")))
+            found = join_windows(marked, cut, "__row", "text").withColumnRenamed("row", "__row")
+            return materialize(marked.select("__row", F.col("of").alias("row")).join(found, "__row").drop("__row"), keep=True)
+        index = _index(docs, cut, text_col)
     kind = docs.schema[row_col].dataType.simpleString()
-    return docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text")).mapInArrow(lambda batches: _report(batches, index.value), f"row {kind}, {REPORT}")
+    return docs.select(row.alias("row"), text.alias("text")).mapInArrow(lambda batches: _report(batches, index.value), f"row {kind}, {REPORT}")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of docs without a hit word, with the columns of docs."""
-    cut = materialize(windows(benchmark, item_col, item_text))
-    if cut.count() > most:
-        marked = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
-        hit = join_windows(marked, cut, "__row", text_col).filter("n_hit > 0").select(F.col("row").alias("__row"))
-        return marked.join(hit, "__row", "left_anti").select(*docs.columns)
-    index = _index(docs, cut, text_col)
+    with scope(docs.sparkSession):
+        cut = materialize(windows(benchmark, item_col, item_text))
+        if cut.count() > most:
+            row = fresh(docs, "__row")
+            marked = materialize(docs.withColumn(row, F.monotonically_increasing_id()), keep=True)
+            hit = join_windows(marked, cut, row, text_col).filter("n_hit > 0").select(F.col("row").alias(row))
+            return marked.join(materialize(hit, keep=True), row, "left_anti").select(*own_columns(docs))
+        index = _index(docs, cut, text_col)
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -228,7 +232,7 @@ def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -
     context, rows = docs.sparkSession.sparkContext, cut.count()
     sizes = sorted(r["n"] for r in cut.select("n").distinct().collect())  # at most WINDOW of them
     used = context.broadcast(_bits(cut.select(F.col("shingle").alias("key")), rows))
-    narrow = docs.select(F.col(row_col).alias("row"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(quoted(row_col)).alias("row"), F.col(quoted(text_col)).alias("text"))
 
     def count(batches):
         for batch in batches:
