@@ -17,6 +17,7 @@ dropped once they pass CACHE_EDGES; the model is read on the driver and broadcas
 """
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .textbytes import blocks, mix, text_buffer
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The model's path, unless encode() or the environment variable SENTENCEPIECE_MODEL names another.
+MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 ALPHA = 0.5
 CACHE_EDGES = 8_000_000
 _UNIT = re.compile(r" *[^ ]+| +")
