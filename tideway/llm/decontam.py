@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import fresh, materialize, own_columns, quoted, scope
+from .store import fresh, materialize, numbered, own_columns, quoted, scope
 from .textbytes import ALNUM, Words, blocks, text_buffer
 
 WINDOW = 10
@@ -198,7 +198,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
             hit = join_windows(marked, cut, row, text_col).filter("n_hit > 0").select(F.col("row").alias(row))
             return marked.join(materialize(hit, keep=True), row, "left_anti").select(*own_columns(docs))
         index = _index(docs, cut, text_col)
-    at = docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
@@ -207,9 +207,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
             for a, b in blocks(offsets):
                 for _, _, text, _ in _hits(_words(data, offsets, a, b), index.value):
                     clean[a + text] = False
-            yield batch.filter(pa.array(clean))
+            yield pa.RecordBatch.from_arrays(batch.filter(pa.array(clean)).columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return numbered(docs).mapInArrow(run, docs.schema)
 
 
 def _bits(keys: DataFrame, rows: int) -> np.ndarray:

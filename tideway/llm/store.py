@@ -41,6 +41,11 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(quoted(c)) for c in df.columns]
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df with columns c0, c1, ...: mapInArrow takes no names with dots."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
