@@ -28,6 +28,14 @@ def fails(spark, column):
         ('{"hello world","foo bar"}', ["hello world", "foo bar"]),
         ("{1,NULL,3}", ["1", None, "3"]),
         ('{"NULL",null, a }', ["NULL", None, "a"]),
+        (" {1,2} \n", ["1", "2"]),
+        ("{a,}", ["a"]),
+        ("{a,,}", ["a", ""]),
+        ("{,a}", ["", "a"]),
+        ("{,}", [""]),
+        ("{ }", []),
+        ('{"a" , "b" }', ["a", "b"]),
+        (r'{"\\",",\""}', ["\\", ',"']),
         (r'{"say \"hi\""}', ['say "hi"']),
         ('{"a,b","c{d}"}', ["a,b", "c{d}"]),
         ("{" + "x" * 60_000 + "}", ["x" * 60_000]),
@@ -41,7 +49,7 @@ def test_array(spark, text, expected):
 def test_array_elements_and_errors(spark):
     assert one(spark, pgtext.decode(F.lit("{1,NULL}"), T.ArrayType(T.IntegerType()))) == [1, None]
     assert one(spark, pgtext.decode(F.lit("{2024-01-15}"), T.ArrayType(T.DateType()))) == [dt.date(2024, 1, 15)]
-    for bad in ("1,2", "{{1,2},{3}}"):
+    for bad in ("1,2", "{{1,2},{3}}", '{"abc}', '{"a"b}', '{a,"b}', r'{"a\"}', "{1,2", ""):
         fails(spark, pgtext.decode_array(F.lit(bad), T.StringType()))
 
 
@@ -55,6 +63,7 @@ def test_array_elements_and_errors(spark):
         ('"k"=>"  "', {"k": "  "}),
         (r'"a,\"b"=>"x=>y, \\z"', {'a,"b': "x=>y, \\z"}),
         ('"k"=>"1", "k"=>"2"', {"k": "2"}),
+        ('"z"=>1, "k"=>"1","a"=>"3" ,"k"=>NULL, "k"=>x y , "b"=>,', {"a": "3", "b": "", "k": "x y", "z": "1"}),
         ("", {}),
     ],
 )
@@ -81,6 +90,37 @@ def test_scalars(spark):
         assert one(spark, pgtext.decode(F.lit(None).cast("string"), kind)) is None
 
 
+def test_scalars_are_strict(spark):
+    """What the database does not write raises, with ANSI casts and without."""
+    bad = {
+        T.IntegerType(): (" 12 ", "1.0", "", "2147483648", "0x1", "1e3", "１"), T.LongType(): ("9223372036854775808", "12L"), T.DoubleType(): ("1.5d", "1.5f", " 1", "", ".", "1e", "infinit"),
+        T.DateType(): ("2024", "2024-02-30", "2024-1-5", " 2024-01-05"), T.TimestampNTZType(): ("2024", "2024-01-15", "2024-01-15 12:30:45+02", "2024-01-15T12:30:45", "2024-01-15 25:00:00"), T.TimestampType(): ("2024-01-15 12:30", "epoch"),
+    }
+    good = [("+7", T.IntegerType(), 7), ("-9223372036854775808", T.LongType(), -(2**63)), ("1e3", T.DoubleType(), 1000.0), (".5", T.FloatType(), 0.5), ("5.", T.DoubleType(), 5.0), ("-Infinity", T.DoubleType(), float("-inf")), ("inf", T.FloatType(), float("inf"))]
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            for kind, texts in bad.items():
+                for text in texts:
+                    fails(spark, pgtext.decode(F.lit(text), kind))
+            for text, kind, value in good:
+                assert one(spark, pgtext.decode(F.lit(text), kind)) == value
+            nan = one(spark, pgtext.decode(F.lit("NaN"), T.DoubleType()))
+            assert nan != nan
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_many_pairs_and_copy_escapes(spark):
+    text = ", ".join(f'"k{i % 15_000}"=>"{i}"' for i in range(20_000))
+    got = json.loads(one(spark, pgtext.decode_hstore(F.lit(text))))
+    assert len(got) == 15_000 and got["k3"] == "15003" and got["k14999"] == "14999"
+    cells = [(r"a\\tb", r"a\tb"), (r"\b\f\v\t\n\r", "\b\f\v\t\n\r"), (r"\x41\101\q\.", "AAq."), ("\0x", "\0x"), ("\\", "")]
+    for cell, value in cells:
+        assert one(spark, pgtext.unescape(F.lit(cell))) == value
+    fails(spark, pgtext.unescape(F.lit(r"\xe9")))
+
+
 def test_types():
     assert field("a", "int4[]").dataType == T.ArrayType(T.IntegerType())
     assert field("h", "hstore").metadata == {"source_type": "hstore"}
