@@ -145,7 +145,8 @@ def test_file_table(spark, tmp_path):
         t.merge(staged, ["id"])
         assert ids(t.read()) == [0, 1, 2, 3, 99]
     t.vacuum()
-    assert ids(t.read()) == [0, 1, 2, 3, 99] and len([d for d in os.listdir(tmp_path / "t") if d.startswith("data-")]) == 1
+    assert ids(t.read()) == [0, 1, 2, 3, 99]
+    assert sorted(f"{d}/{b}" for d in os.listdir(tmp_path / "t") if d.startswith("data-") for b in os.listdir(tmp_path / "t" / d) if "=" in b) == sorted(t.state()["data"])
 
 
 def derby(spark, name):
@@ -207,9 +208,10 @@ def test_delivery(spark, tmp_path):
             raise RuntimeError("stopped in the middle")
         deliver.copy_file(path, folder, name)
 
-    with pytest.raises(Exception):
+    with pytest.raises(deliver.DeliveryError, match="stopped in the middle"):
         deliver.deliver(listed, str(out), ledger, breaks)
-    assert deliver.deliver(listed, str(out), ledger, breaks) == 5
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == [f"part.{i:04d}.parquet" for i in (0, 1, 2, 4)]
+    assert deliver.deliver(listed, str(out), ledger, breaks) == 1  # what the first call delivered is not copied again
     assert deliver.deliver(listed, str(out), ledger) == 0
     assert sorted(os.listdir(out)) == [f"part.{i:04d}.parquet" for i in range(5)] and (out / "part.0002.parquet").read_bytes() == b"hello2"
     (staged / "sub").mkdir()
@@ -219,6 +221,104 @@ def test_delivery(spark, tmp_path):
         deliver.deliver(both, str(out), ledger)
 
 
+def test_delivery_goes_on_behind_a_round_that_was_lost(spark, tmp_path):
+    """A driver that stops in a round: the rounds before it are in the ledger, and only the others are copied again."""
+    staged, out, ledger, copies = tmp_path / "s", tmp_path / "o", str(tmp_path / "l"), tmp_path / "copies"
+    staged.mkdir()
+    copies.mkdir()
+    for i in range(12):
+        (staged / f"f{i}").write_bytes(b"x" * (i + 1))
+
+    def logged(path, folder, name):
+        open(copies / f"{name}.{os.urandom(4).hex()}", "w").close()
+        if name == "f7" and len(list(copies.glob("f7.*"))) == 1:
+            raise RuntimeError("once")
+        deliver.copy_file(path, folder, name)
+
+    listed = deliver.manifest(spark, str(staged))
+    with pytest.raises(deliver.DeliveryError):
+        deliver.deliver(listed, str(out), ledger, logged, round_files=3)
+    first = len(list(copies.iterdir()))
+    done = deliver.deliver(listed, str(out), ledger, logged, round_files=3)
+    assert len(list(copies.iterdir())) == 13 and first + done == 13 and len([f for f in os.listdir(out) if not f.startswith('.')]) == 12
+    assert deliver.pending(listed, ledger).count() == 0
+
+
+def test_two_writers(spark, tmp_path):
+    """Commits that were prepared over one version are both kept, and a merge is done again over what came in between."""
+    path = str(tmp_path / "t")
+    df = lambda *r: spark.createDataFrame(list(r), "id long, v string")
+    a, b = load.FileTable(spark, path).create(df((1, "x")).schema), load.FileTable(spark, path)
+    write, between = a._write, []
+
+    def late(frame, state):
+        made = write(frame, state)
+        if not between:
+            between.append(1)
+            b.append(df((2, "b"), (3, "b")))
+        return made
+
+    a._write = late
+    a.append(df((1, "a")))
+    assert sorted(map(tuple, b.read().collect())) == [(1, "a"), (2, "b"), (3, "b")]
+    between.clear()
+    a.merge(df((2, "a"), (9, "a")), ["id"])
+    assert sorted(map(tuple, b.read().collect())) == [(1, "a"), (2, "a"), (3, "b"), (3, "b"), (9, "a")]
+    between.clear()
+    a.append(df((10, "z")))
+    assert b.read().filter("id = 10").count() == 1 and b.state()["keys"] == ["id"] and all("=" in d for d in b.state()["data"])
+    with pytest.raises(FileExistsError):
+        b.create(df((1, "x")).schema)
+    state = StateTable(spark, str(tmp_path / "state"))
+    for v in ("1", "2", "3"):
+        state.store("a/b", v, "string")
+    assert state.read("a/b") == "3" and state.read("a") is None
+
+
+def test_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    t = load.FileTable(spark, str(tmp_path / "t")).create(spark.createDataFrame([], "id long, v string").schema, ["id"], buckets=8)
+    t.append(spark.range(1000).select("id", F.lit("old").alias("v")).union(spark.createDataFrame([(None, "n")] * 40, "id long, v string")))
+    before = t.state()["data"]
+    assert len([d for d in before if "=-" in d]) >= 1 and len([d for d in before if "=-" not in d]) == 8
+    t.merge(spark.createDataFrame([(5, "new"), (2000, "new"), (None, "m")], "id int, v string"), ["id"])
+    after = t.state()["data"]
+    assert len(set(before) - set(after)) <= 2 and len(set(before) & set(after)) >= 6 and t.read().count() == 1042
+    assert t.read().filter("v = 'new'").count() == 2 and t.read().filter("id = 5").count() == 1
+    t.vacuum()
+    assert t.read().count() == 1042
+
+
+def test_latest_is_the_same_on_every_run(spark):
+    rows = [(1, 5, c) for c in "badce"] + [(1, None, "z"), (2, None, "y"), (None, 1, "n"), (None, 1, "n")]
+    one = {tuple(load.latest_by(spark.createDataFrame(p, "k int, o int, v string").repartition(n), ["k"], "o").orderBy("k", "v").collect()) for p, n in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 2))}
+    assert len(one) == 1 and [r["k"] for r in next(iter(one))] == [None, None, 1, 2]
+
+
+def test_chunks_show_while_the_write_runs(spark, tmp_path):
+    folder = str(tmp_path)
+    text = F.expr("array_join(transform(sequence(1, 4), k -> sha2(concat_ws('-', id, k), 256)), '')")
+    df = spark.range(0, 60_000, 1, 2).select("id", text.alias("t"))
+
+    def watch(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            seen = len([f for f in os.listdir(folder) if not f.startswith((".", "_"))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([seen] * batch.num_rows, pa.int32())], names=["id", "t", "seen"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        rows, made = files.write_parquet(df.mapInArrow(watch, "id long, t string, seen int"), folder, "x", "snappy", "256KiB", early=True)
+        assert rows == 60_000 and spark.read.parquet(*made).agg(F.max("seen")).first()[0] > 3
+        assert max(os.path.getsize(p.removeprefix("file:")) for p in made) <= 256 * 1024
+        kept = set(os.listdir(folder))
+        with pytest.raises(Exception):
+            files.write_parquet(df.withColumn("t", F.when(F.col("id") == 29_999, F.raise_error(F.lit("broken"))).otherwise(F.col("t"))), folder, "y", "snappy", "256KiB", early=True)
+        assert {f for f in os.listdir(folder) if not f.startswith(".")} <= kept
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_streams(spark, tmp_path):
     staging, table = str(tmp_path / "s"), load.FileTable(spark, str(tmp_path / "t")).create(events(spark).schema)
     for n in (2, 4, 4):

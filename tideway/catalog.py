@@ -1,5 +1,6 @@
 """The registered queries of extract and load, and their SQL."""
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,11 +12,13 @@ from .plans.flow import Flow
 from .sinks import files
 from .sources import copytext, scan
 from .sources.incremental import Incremental, StateTable
-from .storage import Files, scratch
+from .storage import Files, arrow_at, scratch
 from .streaming.staged import merge_stream
 
 BOUND = "2024-01-15 00:00:00"
 LATE = "2024-01-20 12:00:00"
+#: The last event time up to BOUND: a bound that is in the table, so that > and >= differ.
+_HIT = f"(SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{BOUND}')"
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -45,14 +48,19 @@ def scan_query(spark, sf_dir):
     return scan.query(spark, _SCAN)
 
 
-def _derby(spark, name: str) -> dict:
-    """An embedded database, for runs in one JVM."""
+def _database(spark, name: str) -> dict:
+    """The database that the session's spark.tideway.jdbc.url and .driver name; else an embedded one, which one JVM alone can use."""
+    url = spark.conf.get("spark.tideway.jdbc.url", None)
+    if url:
+        return {"url": url, "driver": spark.conf.get("spark.tideway.jdbc.driver")}
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("on a cluster spark.tideway.jdbc.url must name a database server")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.field", "java.lang.System.err")
     return {"url": f"jdbc:derby:memory:{name};create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
 
-def _derby_table(spark, df: DataFrame) -> tuple[dict, str]:
-    options, name = _derby(spark, "tideway"), f"t_{scratch(spark).rpartition('-')[2]}"
+def _database_table(spark, df: DataFrame) -> tuple[dict, str]:
+    options, name = _database(spark, "tideway"), f"t_{scratch(spark).rpartition('-')[2]}"
     df.write.format("jdbc").options(**options).option("dbtable", name).mode("error").save()
     return options, name
 
@@ -60,7 +68,7 @@ def _derby_table(spark, df: DataFrame) -> tuple[dict, str]:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey % 3 = 0")
 def scan_partitioned(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    options, name = _derby_table(spark, rows)
+    options, name = _database_table(spark, rows)
     top = rows.agg(F.max("o_orderkey")).first()[0]
     sql = f'SELECT "o_orderkey", "o_custkey", "o_orderstatus" FROM {name} WHERE MOD("o_custkey", 3) = 0'
     return scan.jdbc_query(spark, options, sql, partition=('"o_orderkey"', 0, int(top) + 1, 4))
@@ -97,14 +105,20 @@ def incremental_resume(spark, sf_dir):
     return Incremental("ts", initial=BOUND).apply(table(spark, sf_dir, "events"), LATE)
 
 
-@query(f"SELECT * FROM events WHERE ts > TIMESTAMP '{BOUND}'")
+def _hit(events: DataFrame) -> str:
+    return events.filter(F.col("ts") <= F.lit(BOUND).cast("timestamp_ntz")).agg(F.max("ts").cast("string")).first()[0]
+
+
+@query(f"SELECT * FROM events WHERE ts > {_HIT}")
 def incremental_initial_value(spark, sf_dir):
-    return Incremental("ts", initial=BOUND).apply(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    return Incremental("ts", initial=_hit(events)).apply(events)
 
 
-@query(f"SELECT * FROM events WHERE ts >= TIMESTAMP '{BOUND}'")
+@query(f"SELECT * FROM events WHERE ts >= {_HIT}")
 def incremental_inclusive(spark, sf_dir):
-    return Incremental("ts", initial=BOUND, inclusive=True).apply(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    return Incremental("ts", initial=_hit(events), inclusive=True).apply(events)
 
 
 @query(f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{LATE}' ORDER BY ts")
@@ -153,11 +167,21 @@ def parquet_single(spark, sf_dir):
     return spark.read.parquet(f"{folder}/lineitem.snappy.parquet")
 
 
-@query("SELECT * FROM lineitem")
+@query("SELECT *, false AS over FROM lineitem")
 def parquet_chunked(spark, sf_dir):
+    """Every row, and whether its chunk is over the cap."""
     df, folder = table(spark, sf_dir, "lineitem"), _folder(spark)
     _, made = files.write_parquet(df, folder, "lineitem", "zstd", "256KiB")
-    return spark.read.parquet(*made)
+    return spark.read.parquet(*made).withColumn("over", F.col("_metadata.file_size") > files.parse_size("256KiB"))
+
+
+@query("SELECT *, false AS over FROM documents")
+def parquet_chunks_early(spark, sf_dir):
+    """Texts of very different lengths, sorted from short to long, in chunks that show while later ones fill."""
+    docs, folder = table(spark, sf_dir, "documents"), _folder(spark)
+    ordered = docs.repartitionByRange("n_chars").sortWithinPartitions("n_chars")
+    _, made = files.write_parquet(ordered, folder, "documents", "gzip", "256KiB", early=True)
+    return spark.read.parquet(*made).withColumn("over", F.col("_metadata.file_size") > files.parse_size("256KiB"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS codec, count(*) AS n, sum(o_orderkey) AS keys FROM orders" for c in files.CODECS))
@@ -222,7 +246,7 @@ def atomic_append(spark, sf_dir):
 @query("SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 10 = 0")
 def atomic_append_jdbc(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    options, name = _derby_table(spark, orders)
+    options, name = _database_table(spark, orders)
     jdbc.append(orders.filter("o_orderkey % 10 = 0"), options, name)
     return scan.jdbc_query(spark, options, f"SELECT * FROM {name}")
 
@@ -290,7 +314,7 @@ def merge_latest(spark, sf_dir):
 @query(f"SELECT o_orderkey, o_orderstatus FROM ({_MERGED})")
 def merge_jdbc(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    options, name = _derby_table(spark, orders)
+    options, name = _database_table(spark, orders)
     jdbc.execute(orders, options, f'CREATE INDEX i_{name} ON {name} ("o_orderkey")')
     jdbc.merge(_changes(orders), options, name, ["o_orderkey"])
     return scan.jdbc_query(spark, options, f"SELECT * FROM {name}")
@@ -317,29 +341,60 @@ def _staged_files(spark, sf_dir) -> str:
     return folder
 
 
-_NAMES = "SELECT * FROM (VALUES ('customer.snappy.parquet'), ('nation.snappy.parquet'), ('part.snappy.parquet'), ('region.snappy.parquet'), ('supplier.snappy.parquet')) v(file_name)"
+_TABLES = ("customer", "nation", "part", "region", "supplier")
+_NAMES = " UNION ALL ".join(f"SELECT '{t}.snappy.parquet' AS file_name, count(*) AS n, true AS whole FROM {t}" for t in _TABLES)
+
+
+def _rows_of(spark, listed: DataFrame, folder: str) -> DataFrame:
+    """file_name, its rows in folder, and whether it has the listed length there."""
+    there = deliver.manifest(spark, folder, "*.parquet").select("file_name", F.col("length").alias("there"))
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name")
+    counts = None
+    for t in _TABLES:  # files of different schemas
+        one = spark.read.parquet(f"{folder}/{t}.snappy.parquet").select(name).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.union(one)
+    return listed.join(there, "file_name").join(counts, "file_name").select("file_name", "n", (F.col("length") == F.col("there")).alias("whole"))
 
 
 @query(_NAMES)
 def manifest_rows(spark, sf_dir):
-    return deliver.manifest(spark, _staged_files(spark, sf_dir), "*.parquet").select("file_name")
+    folder = _staged_files(spark, sf_dir)
+    return _rows_of(spark, deliver.manifest(spark, folder, "*.parquet"), folder)
 
 
 @query(_NAMES)
 def deliver_pending(spark, sf_dir):
     staged, folder, ledger = _staged_files(spark, sf_dir), _folder(spark), scratch(spark, "ledger")
-    deliver.deliver(deliver.manifest(spark, staged, "*.parquet"), folder, ledger)
-    return deliver.manifest(spark, folder, "*.parquet").select("file_name")
+    listed = deliver.manifest(spark, staged, "*.parquet")
+    deliver.deliver(listed, folder, ledger)
+    return _rows_of(spark, listed, folder)
 
 
-@query("SELECT 5 AS first, 0 AS again, (SELECT count(*) FROM customer) AS customers")
+@query("SELECT true AS broke, 1 AS resumed, 0 AS again, 6 AS copies, (SELECT count(*) FROM customer) AS customers")
 def deliver_resume(spark, sf_dir):
-    """A second delivery finds nothing to do, and the delivered files are whole."""
-    staged, folder, ledger = _staged_files(spark, sf_dir), _folder(spark), scratch(spark, "ledger")
-    listed = deliver.manifest(spark, staged, "*.parquet")
-    first, again = deliver.deliver(listed, folder, ledger), deliver.deliver(listed, folder, ledger)
+    """A copy fails once: the next call copies that file alone, a third one nothing; copies are counted by marker files."""
+    staged, folder, ledger, marks = _staged_files(spark, sf_dir), _folder(spark), scratch(spark, "ledger"), _folder(spark)
+    marks = Files(spark).qualified(marks)
+
+    def breaks(path, to, name):
+        import uuid
+
+        store, root = arrow_at(marks)
+        first = not any(f.base_name.startswith(name) for f in store.get_file_info(fs.FileSelector(root)))
+        store.open_output_stream(f"{root}/{name}.{uuid.uuid4().hex}").close()
+        if first and name.startswith("part."):
+            raise RuntimeError("stopped in the middle")
+        deliver.copy_file(path, to, name)
+
+    listed, broke = deliver.manifest(spark, staged, "*.parquet"), False
+    try:
+        deliver.deliver(listed, folder, ledger, breaks)
+    except deliver.DeliveryError:
+        broke = True
+    resumed, again = deliver.deliver(listed, folder, ledger, breaks), deliver.deliver(listed, folder, ledger, breaks)
+    copies = len([p for p, _ in Files(spark).list(marks)])
     n = spark.read.parquet(f"{folder}/customer.snappy.parquet").agg(F.count(F.lit(1)).alias("customers"))
-    return n.select(F.lit(first).alias("first"), F.lit(again).alias("again"), "customers")
+    return n.select(F.lit(broke).alias("broke"), F.lit(resumed).alias("resumed"), F.lit(again).alias("again"), F.lit(copies).alias("copies"), "customers")
 
 
 # Text forms

@@ -1,24 +1,29 @@
 """Delivery of finished files: manifest, ledger, and copies made by executors.
 
 Files that the ledger does not list are copied under their own names; a copy replaces an
-earlier one in one step, so that a repeat is harmless, and a delivery that broke off carries
-on where it stopped. Two files of one name would overwrite each other: that is an error.
+earlier one in one step, so that a repeat is harmless. Copies run in rounds of at most ROUND
+files. A copy that fails does not stop its round: the ledger gets the files that were copied,
+and the error is raised behind it, so that the next call goes on with what is left, and a lost
+driver costs one round. Two files of one name would overwrite each other: that is an error.
 """
 
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import Files
+from ..storage import Files, arrow_at, scratch
 
 MANIFEST = "path string, file_name string, length long"
+#: error is NULL where the file was delivered.
+LEDGER = MANIFEST + ", error string"
 COPY_BYTES = 8 << 20
+ROUND = 10_000
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """path, file_name and length of the finished files of a folder; contents are not read."""
+    """path, file_name and length of the finished files of a folder, but for empty ones; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
 
@@ -28,21 +33,13 @@ def pending(listed: DataFrame, ledger: str) -> DataFrame:
     spark = listed.sparkSession
     if not Files(spark).exists(ledger):
         return listed
-    done = spark.read.schema(MANIFEST).parquet(ledger).select("path")
+    done = spark.read.schema(LEDGER).parquet(ledger).filter("error IS NULL").select("path")
     return listed.join(done, "path", "left_anti")
 
 
 def copy_file(source: str, folder: str, name: str) -> None:
-    """Copy one file in parts, on any store that pyarrow knows; it shows under its name only once it is whole."""
-    from pyarrow import fs
-
-    def at(path: str):
-        if "://" not in path:
-            path = path.removeprefix("file:")
-            return fs.LocalFileSystem(), path
-        return fs.FileSystem.from_uri(path)
-
-    (from_fs, from_path), (to_fs, to_path) = at(source), at(folder)
+    """Copy one file in parts, between any stores that pyarrow knows; it shows under its name only once it is whole. Paths are qualified."""
+    (from_fs, from_path), (to_fs, to_path) = arrow_at(source), arrow_at(folder)
     beside = f"{to_path.rstrip('/')}/.{name}.{uuid.uuid4().hex}"
     with from_fs.open_input_stream(from_path) as a, to_fs.open_output_stream(beside) as b:
         while part := a.read(COPY_BYTES):
@@ -50,21 +47,44 @@ def copy_file(source: str, folder: str, name: str) -> None:
     to_fs.move(beside, f"{to_path.rstrip('/')}/{name}")
 
 
-def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file) -> int:
-    """Copy the pending files of a manifest; returns how many. Each task writes its ledger rows with its commit."""
+class DeliveryError(RuntimeError):
+    """Some copies of a round failed; the others are in the ledger."""
+
+
+def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_files: int = ROUND) -> int:
+    """Copy the pending files of a manifest; returns how many."""
     spark = listed.sparkSession
+    files = Files(spark)
     twice = listed.groupBy("file_name").agg(F.countDistinct("path").alias("n")).filter("n > 1").first()
     if twice:
         raise ValueError(f"{twice['n']} files are named {twice['file_name']}")
-    Files(spark).mkdirs(folder)
+    files.mkdirs(folder)
+    folder = files.qualified(folder)  # executors must not take it for a path of their own
 
     def run(batches):
         for rows in batches:
+            errors = []
             for path, name in zip(rows["path"], rows["file_name"], strict=True):
-                copy(path, folder, name)
-            yield pd.DataFrame(rows)
-
-    todo = pending(listed, ledger)
-    before = spark.read.schema(MANIFEST).parquet(ledger).count() if Files(spark).exists(ledger) else 0
-    todo.repartition("path").mapInPandas(run, MANIFEST).write.mode("append").parquet(ledger)
-    return spark.read.schema(MANIFEST).parquet(ledger).count() - before
+                try:
+                    copy(path, folder, name)
+                    errors.append(None)
+                except Exception as e:
+                    errors.append(f"{path}: {type(e).__name__}: {e}")
+            yield pd.DataFrame(rows).assign(error=pd.Series(errors, index=rows.index, dtype=object))
+
+    held, delivered = scratch(spark, "pending"), 0
+    try:
+        pending(listed, ledger).write.parquet(held)
+        todo = spark.read.schema(MANIFEST).parquet(held)
+        rounds = -(-todo.count() // round_files)
+        for r in range(rounds):
+            mine = todo.filter(F.pmod(F.xxhash64("path"), F.lit(rounds)) == r)
+            seen = Observation()
+            done = mine.repartition("path").mapInPandas(run, LEDGER).observe(seen, F.count_if(F.col("error").isNull()).alias("fine"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.min("error").alias("error"))
+            done.write.mode("append").parquet(ledger)
+            delivered += seen.get["fine"]
+            if seen.get["failed"]:
+                raise DeliveryError(f"{seen.get['failed']} copies failed, the first: {seen.get['error']}")
+    finally:
+        files.delete(held)
+    return delivered

@@ -79,16 +79,14 @@ class Flow:
 
     def run(self, spark: SparkSession) -> Report:
         df = self.source(spark)
-        # what estimates its width must not run the observed frame
-        options = self.options | ({"estimate_from": df} if self.sink == "parquet" else {})
         if self.incremental is None:
             df, seen = counted(df)
-            SINKS[self.sink](df, options)
+            SINKS[self.sink](df, self.options)
             return Report(seen.get["rows"])
         table = StateTable(spark, self.state) if self.state else None
         last = table.read(self.name) if table else None
         rows, seen = self.incremental.observe(self.incremental.apply(df, last))
-        SINKS[self.sink](rows, options)
+        SINKS[self.sink](rows, self.options)
         found = seen.get
         if table:
             table.store(self.name, found["watermark"], df.schema[self.incremental.cursor].dataType.simpleString())

@@ -1,19 +1,27 @@
 """File sinks: JSON lines, Parquet in one file or in chunks of a capped size, and none at all (a count)."""
 
 import re
+import uuid
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..storage import Files, scratch
+from ..storage import Files, arrow_at
 
 #: The codec names of file names, and Spark's names for them.
 CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
+#: The names of these codecs in Arrow.
+ARROW_CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "lz4": "lz4", "uncompressed": "none"}
 LEAST_CHUNK = 64 * 1024
-#: Rows from which the width of a row in Parquet is estimated.
-ESTIMATE_ROWS = 20_000
-#: Part of the cap that an estimated chunk fills, since widths vary.
-FILL = 0.9
+#: A row group is at most this part of the cap, and at most GROUP_BYTES, as it lies in memory.
+GROUP_PART, GROUP_BYTES = 8, 64 << 20
+#: Room for the footer, and for each column's entry of each row group in it, without its least and greatest value.
+FOOTER, ENTRY = 2048, 160
+#: Text columns with longer values get no least and greatest values.
+LONG_VALUE = 256
+#: Chunks that are shown early are numbered by task + 1, and this much more for each later one of the task.
+TASKS = 1_000_000
 _UNITS = {"": 1024, "b": 1, "kb": 1000, "mb": 1000**2, "gb": 1000**3, "kib": 1024, "mib": 1024**2, "gib": 1024**3}
 
 
@@ -55,50 +63,97 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return seen.get["rows"]
 
 
-def _bytes_per_row(df: DataFrame, codec: str, files: Files) -> float:
-    path = scratch(df.sparkSession, "width")
-    sample, seen = counted(df.limit(ESTIMATE_ROWS))
-    sample.write.option("compression", CODECS[codec]).parquet(path)
-    rows = seen.get["rows"]
-    size = sum(n for _, n in files.list(path))
-    files.delete(path)
-    return size / rows if rows else 1.0
+def _rolling(folder: str, prefix: str, compression: str, cap: int, stop: str):
+    """A function for mapInArrow that writes Parquet chunks near cap into folder and yields (name, rows, bytes) of each.
 
-
-def _split(files: Files, df: DataFrame, staging: str, compression: str, cap: int) -> None:
-    """Rewrite the written files that are over the cap, until none is but those of one row.
-
-    Each pass groups them by the rows that a chunk of the cap may have, so it has few jobs, and rewrites nothing else.
+    The size is that of the bytes written: a chunk is closed before a row group that might take it over
+    the cap, counted as it lies in memory. It shows under its name only once it is whole, and not
+once there is a file named stop: tasks of a failed job may still run for a while.
     """
-    spark, single = df.sparkSession, set()
-    while large := {p.rpartition("/")[2]: (p, n) for p, n in files.list(staging) if n > cap and p not in single}:
-        schema, classes = df.schema, {}
-        # Spark writes the names of part files without characters that a URI would escape
-        counts = spark.read.schema(schema).parquet(*[p for p, _ in large.values()]).groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).count().collect()
-        for name, rows in counts:
-            path, size = large[name]
-            if rows == 1:
-                single.add(path)
-            else:
-                classes.setdefault(int(max(1, FILL * rows * cap / size)).bit_length(), []).append((path, int(max(1, FILL * rows * cap / size))))
-        for found in classes.values():
-            part = f"{staging}/_split-{scratch(spark, 's').rpartition('-')[2]}"
-            spark.read.schema(schema).parquet(*[p for p, _ in found]).write.option("compression", CODECS[compression]).option("maxRecordsPerFile", min(n for _, n in found)).parquet(part)
-            for path, _ in files.list(part):
-                files.rename(path, f"{staging}/{path.rpartition('/')[2]}")
-            for path, _ in found:
-                files.delete(path)
-            files.delete(part)
-
-
-def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "snappy", max_file_size: str | None = None, estimate_from: DataFrame | None = None) -> tuple[int, list[str]]:
+    most = max(1, min(cap // GROUP_PART, GROUP_BYTES))
+
+    def cut(b):
+        if b.num_rows > 1 and b.nbytes > most:
+            yield from cut(b.slice(0, b.num_rows // 2))
+            yield from cut(b.slice(b.num_rows // 2))
+        elif b.num_rows:
+            yield b
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        def lengths(table):
+            """The longest value of each column of text or bytes."""
+            kinds = (pa.types.is_string, pa.types.is_binary, pa.types.is_large_string, pa.types.is_large_binary)
+            return {f.name: pc.max(pc.binary_length(table[f.name])).as_py() or 0 for f in table.schema if any(k(f.type) for k in kinds)}
+
+        store, root = arrow_at(folder)
+        task, made = TaskContext.get().partitionId(), 0
+        sink = writer = hidden = None
+        rows = footer = 0
+        measured: set[str] = set()
+        held, size = [], 0
+
+        def close():
+            nonlocal sink, writer, made, rows, footer
+            writer.close()
+            length = sink.tell()
+            sink.close()
+            name = file_name(prefix, compression, task + 1 + made * TASKS)
+            store.move(hidden, f"{root}/{name}")
+            if store.get_file_info(f"{root}/{stop}").is_file:  # looked for behind the move: the driver makes it before it lists the chunks
+                store.delete_file(f"{root}/{name}")
+                raise RuntimeError("the write has failed elsewhere")
+            out = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows]), pa.array([length])], names=["name", "rows", "bytes"])
+            sink, writer, made, rows, footer = None, None, made + 1, 0, 0
+            return out
+
+        def flush():
+            """Write what is held as a row group, behind a new chunk where it might be too much for this one."""
+            nonlocal sink, writer, hidden, rows, footer, measured, held, size
+            table = pa.Table.from_batches(held)
+            long = lengths(table)
+            entry = lambda: ENTRY * len(table.schema) + 4 * sum(n for c, n in long.items() if c in measured)
+            if writer and sink.tell() + size + FOOTER + footer + 2 * entry() > cap:
+                yield close()
+            if not writer:
+                hidden = f"{root}/.{prefix}.{uuid.uuid4().hex}"
+                sink = store.open_output_stream(hidden)
+                measured = {c for c in table.column_names if long.get(c, 0) <= LONG_VALUE}
+                writer = pq.ParquetWriter(sink, table.schema, compression=ARROW_CODECS[compression], write_statistics=sorted(measured))
+            writer.write_table(table, row_group_size=table.num_rows)
+            rows, footer, held, size = rows + table.num_rows, footer + entry(), [], 0
+
+        try:
+            for batch in batches:
+                for part in cut(batch):
+                    if held and size + part.nbytes > most:
+                        yield from flush()
+                    held.append(part)
+                    size += part.nbytes
+            if held:
+                yield from flush()
+            if writer:
+                yield close()
+        finally:
+            if sink is not None:
+                sink.close()
+                store.delete_file(hidden)
+
+    return run
+
+
+def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "snappy", max_file_size: str | None = None, early: bool = False) -> tuple[int, list[str]]:
     """Write df under its own names into an existing folder; returns the rows and the files.
 
-    Without a size it is one file, written by one task; with a size, tasks write chunks near the
-    cap in parallel, numbered from 1; what is over the cap once written, as later rows are wider than
-    the first, is split until only files of a single row may be. Files are renamed into the folder after the whole write has
-    succeeded; a failed write leaves nothing behind. No rows: no file. estimate_from: the frame whose
-    first rows give the width of a row (df; another where df carries observations).
+    Without a size it is one file, written by one task; with a size, tasks roll over to a new chunk
+    by the bytes that they have written, so that no chunk is over the cap but one of a single row. Chunks
+    are numbered from 1 and show once the whole write has succeeded; a failed write leaves nothing behind.
+    early: each chunk shows as soon as it is whole, while later ones fill, for a reader that follows the folder; numbers
+    then go by task and have gaps, a task that runs again replaces its own chunks, and a failed write takes back
+    those that it showed (what is left is a hidden empty file, at which tasks that still run stop). No rows: no file. Arrow must know the store of the folder.
     """
     files = Files(df.sparkSession)
     if not prefix:
@@ -107,24 +162,55 @@ def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "s
         raise ValueError(f"unknown codec {compression!r}; one of {', '.join(CODECS)}")
     if not files.is_dir(folder):
         raise FileNotFoundError(folder)
-    cap = chunk_size(max_file_size) if max_file_size is not None else None
-    staging = f"{folder.rstrip('/')}/_staging-{scratch(df.sparkSession, 'w').rpartition('-')[2]}"
+    folder = files.qualified(folder).rstrip("/")
+    if max_file_size is not None:
+        return _write_chunks(df, files, folder, prefix, compression, chunk_size(max_file_size), early)
+    staging = f"{folder}/_staging-{uuid.uuid4().hex}"
     out, seen = counted(df)
-    if cap is None:
-        writer = out.coalesce(1).write
-    else:
-        writer = out.write.option("maxRecordsPerFile", max(1, int(FILL * cap / _bytes_per_row(estimate_from or df, compression, files))))
     try:
-        writer.option("compression", CODECS[compression]).parquet(staging)
-        rows, made = seen.get["rows"], []
-        if cap is not None and rows:
-            _split(files, df, staging, compression, cap)
-        for i, (path, _) in enumerate(files.list(staging) if rows else [], 1):
-            name = f"{folder.rstrip('/')}/{file_name(prefix, compression, None if cap is None else i)}"
-            if files.exists(name):
-                files.delete(name)
-            files.rename(path, name)
-            made.append(name)
-        return rows, made
+        out.coalesce(1).write.option("compression", CODECS[compression]).parquet(staging)
+        rows = seen.get["rows"]
+        return rows, _publish(files, [p for p, _ in files.list(staging)] if rows else [], folder, lambda i: file_name(prefix, compression))
     finally:
         files.delete(staging)
+
+
+def _publish(files: Files, paths: list[str], folder: str, name) -> list[str]:
+    """Rename paths into folder; on a failure those that have arrived are taken back."""
+    made: list[str] = []
+    try:
+        for i, path in enumerate(paths):
+            to = f"{folder}/{name(i)}"
+            if files.exists(to):
+                files.delete(to)
+            files.rename(path, to)
+            made.append(to)
+        return made
+    except Exception:
+        for to in made:
+            files.delete(to)
+        raise
+
+
+def _write_chunks(df: DataFrame, files: Files, folder: str, prefix: str, compression: str, cap: int, early: bool) -> tuple[int, list[str]]:
+    target = folder if early else f"{folder}/_staging-{uuid.uuid4().hex}"
+    files.mkdirs(target)
+    stop = f".stop-{uuid.uuid4().hex}"
+    shown = re.compile(re.escape(prefix) + r"\.[0-9]{8,}\." + compression + r"\.parquet")
+    before = {p for p, _ in files.list(folder)}
+    try:
+        made = df.mapInArrow(_rolling(target, prefix, compression, cap, stop), "name string, rows long, bytes long").collect()
+        paths = sorted(f"{target}/{r['name']}" for r in made)
+        if not early:
+            paths = _publish(files, paths, folder, lambda i: file_name(prefix, compression, i + 1))
+        return sum(r["rows"] for r in made), paths
+    except Exception:
+        if early:
+            files.write_text(f"{folder}/{stop}", "")
+        for path in {p for p, _ in files.list(folder)} - before if early else ():
+            if shown.fullmatch(path.rpartition("/")[2]):
+                files.delete(path)
+        raise
+    finally:
+        if not early:
+            files.delete(target)

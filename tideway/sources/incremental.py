@@ -7,12 +7,14 @@ only where there is no bound. The new watermark is observed on the pass that wri
 and stored after the write, so that a crash in between reads again but never skips.
 """
 
+import json
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import Files
+from ..storage import Versions
 
 
 @dataclass(frozen=True)
@@ -41,27 +43,22 @@ class Incremental:
 
 
 class StateTable:
-    """Watermarks by name, as a Parquet table to which every run appends a row."""
-
-    SCHEMA = "name string, sequence long, value string, type string"
+    """Watermarks by name: a folder for each, with a numbered file for every stored one. The last stored one counts."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.files = spark, path, Files(spark)
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def _last(self, name: str):
-        if not self.files.exists(self.path):
-            return None
-        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path).filter(F.col("name") == name)
-        return rows.orderBy(F.desc("sequence")).first()
+    def _versions(self, name: str) -> Versions:
+        return Versions(self.spark, f"{self.path}/{quote(name, safe='')}")
 
     def read(self, name: str) -> str | None:
-        row = self._last(name)
-        return row["value"] if row else None
+        _, text = self._versions(name).last()
+        return json.loads(text)["value"] if text else None
 
     def store(self, name: str, value: str | None, kind: str) -> None:
-        """Append a watermark; a run that saw no cursor value leaves the last one as it was."""
+        """Store a watermark; a run that saw no cursor value leaves the last one as it was. Writers at one time each get a number."""
         if value is None:
             return
-        row = self._last(name)
-        new = (name, row["sequence"] + 1 if row else 1, value, kind)
-        self.spark.createDataFrame([new], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        versions = self._versions(name)
+        while not versions.commit(versions.last()[0] + 1, json.dumps({"value": value, "type": kind})):
+            pass

@@ -1,6 +1,9 @@
 """Scratch folders and small file-system steps, through Hadoop's file systems so that any store works."""
 
+from __future__ import annotations
+
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -38,7 +41,6 @@ class Files:
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark._jvm
-        self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _path(self, path: str):
@@ -61,6 +63,11 @@ class Files:
         found = [(s.getPath().toString(), s.getLen()) for s in self._fs(path).listStatus(self._path(path)) if s.isFile()]
         return sorted(f for f in found if not f[0].rpartition("/")[2].startswith(("_", ".")))
 
+    def folders(self, path: str) -> list[str]:
+        """Names of the folders right under path, hidden ones left out but for those of partitions."""
+        found = [s.getPath().getName() for s in self._fs(path).listStatus(self._path(path)) if s.isDirectory()]
+        return sorted(f for f in found if not f.startswith((".", "_")) or "=" in f)
+
     def rename(self, old: str, new: str) -> None:
         if not self._fs(old).rename(self._path(old), self._path(new)):
             raise OSError(f"cannot rename {old} to {new}")
@@ -76,16 +83,65 @@ class Files:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        """Replace path in one step: write beside it, then rename over it."""
-        beside = f"{path}.{uuid.uuid4().hex}"
-        stream = self._fs(beside).create(self._path(beside), True)
+        stream = self._fs(path).create(self._path(path), True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
-        how = self._gateway.new_array(rename, 1)
-        how[0] = rename.OVERWRITE
-        whole = self._fs(path).makeQualified
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole(self._path(path)).toUri(), self._conf)
-        context.rename(whole(self._path(beside)), whole(self._path(path)), how)
+
+    def create_text(self, path: str, text: str) -> bool:
+        """Make a file with text in one step, if there is none of that name: whether it was made.
+
+        On a local store by a hard link; elsewhere by a rename that fails on an existing name, as on HDFS.
+        On an object store this needs a connector with conditional renames.
+        """
+        beside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+        self.write_text(beside, text)
+        try:
+            if self.qualified(path).startswith("file:"):
+                local = lambda p: self._fs(p).makeQualified(self._path(p)).toUri().getPath()
+                try:
+                    os.link(local(beside), local(path))
+                except FileExistsError:
+                    return False
+                return True
+            return bool(self._fs(path).rename(self._path(beside), self._path(path)))
+        finally:
+            self.delete(beside)
+
+    def qualified(self, path: str) -> str:
+        """path with its scheme: one without belongs to the default file system, also for those that read it elsewhere."""
+        return self._fs(path).makeQualified(self._path(path)).toString()
+
+
+def arrow_at(path: str):
+    """(pyarrow's file system, path in it) of a qualified path."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        path = path.removeprefix("file:")
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)
+
+
+class Versions:
+    """Numbered small files in a folder: a commit makes the next number, and fails where another writer has made it."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.folder, self.files = folder.rstrip("/"), Files(spark)
+
+    def _names(self) -> list[str]:
+        return [p for p, _ in self.files.list(self.folder)] if self.files.exists(self.folder) else []
+
+    def last(self) -> tuple[int, str | None]:
+        """Number and text of the last version; (0, None) where there is none."""
+        names = self._names()
+        return (int(names[-1].rpartition("/")[2].removesuffix(".json")), self.files.read_text(names[-1])) if names else (0, None)
+
+    def commit(self, number: int, text: str) -> bool:
+        self.files.mkdirs(self.folder)
+        return self.files.create_text(f"{self.folder}/{number:012d}.json", text)
+
+    def trim(self) -> None:
+        for name in self._names()[:-1]:
+            self.files.delete(name)
