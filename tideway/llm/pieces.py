@@ -30,7 +30,7 @@ from .textbytes import blocks, mix, text_buffer
 #: The model's path, unless encode() or the environment variable SENTENCEPIECE_MODEL names another.
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 ALPHA = 0.5
-CACHE_EDGES = 8_000_000
+CACHE_EDGES = 2_000_000
 _UNIT = re.compile(r" *[^ ]+| +")
 
 
@@ -65,12 +65,21 @@ def read_model(path: str = MODEL) -> dict:
 
 
 _K = np.uint64(0x100000001B3)
+#: Bytes of text that are segmented together.
+TEXT_BYTES = 1 << 18
 #: Units up to this length are filtered together; longer ones one by one.
 TOGETHER = 64
 #: Shares are kept to this part, so that draws compare exactly wherever a unit's table lies.
 PART = 2.0**-20
 
 
+def _longer(x: np.ndarray) -> np.ndarray:
+    """x with as much room again, which takes memory only once it is written."""
+    out = np.empty(2 * len(x), x.dtype)
+    out[: len(x)] = x
+    return out
+
+
 class Lattice:
     """Forward-filtered tables of the units seen, and backward sampling over them."""
 
@@ -109,7 +118,7 @@ class Lattice:
         """Append edges sorted by node, each with its share of its node."""
         n = len(node)
         while self.edges + n > len(self.cum):
-            self.cum, self.pred, self.code = (np.concatenate([x, np.zeros_like(x)]) for x in (self.cum, self.pred, self.code))
+            self.cum, self.pred, self.code = (_longer(x) for x in (self.cum, self.pred, self.code))
         first = np.r_[True, node[1:] != node[:-1]]
         start = np.flatnonzero(first)
         rank = np.arange(n) - np.repeat(start, np.diff(np.r_[start, n]))
@@ -290,7 +299,7 @@ def encode(docs: DataFrame, key_col: str, text_col: str = "text", model: str = M
         for batch in batches:
             data, offsets = text_buffer(batch.column(2))
             keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for a, b in blocks(offsets):
+            for a, b in blocks(offsets, TEXT_BYTES):
                 raw = [data[s:e].tobytes() for s, e in zip(offsets[a:b], offsets[a + 1 : b + 1], strict=True)]
                 ids, cuts = lattice.encode([t.decode() for t in raw], keys[a:b])
                 decoded = [lattice.decode(ids[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
