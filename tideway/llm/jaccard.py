@@ -320,8 +320,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     marked = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
     ids = marked.select(F.col(row).alias("__row"), F.col(quoted(id_col)).isNull().alias("none"), F.col(quoted(id_col)).alias("id"))
     groups = join(marked, row, text_col).select(F.col(row).alias("__row"), "component_id")
-    first = materialize(groups.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("none", "id", "__row")).alias("r")).select(F.col("r.__row").alias(row)))
-    return marked.join(first, row, "left_semi").select(*own_columns(docs))
+    first = groups.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("none", "id", "__row")).alias("r")).select("r.__row")
+    gone = materialize(groups.select("__row").join(materialize(first), "__row", "left_anti").select(F.col("__row").alias(row)))
+    # few rows go: those of a slot without any stay without a shuffle; at most SLOTS slots are broadcast
+    slot = F.pmod(F.xxhash64(row), F.lit(SLOTS))
+    slots = F.broadcast(materialize(gone.select(slot.alias(f"{row}_slot")).distinct()))
+    on = slot == F.col(f"{row}_slot")
+    kept = marked.join(slots, on, "left_anti").union(marked.join(slots, on, "left_semi").join(gone, row, "left_anti"))
+    return kept.select(*own_columns(docs))
 
 
 SQL = r"""
