@@ -326,8 +326,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     slot = F.pmod(F.xxhash64(row), F.lit(SLOTS))
     slots = F.broadcast(materialize(gone.select(slot.alias(f"{row}_slot")).distinct()))
     on = slot == F.col(f"{row}_slot")
-    kept = marked.join(slots, on, "left_anti").union(marked.join(slots, on, "left_semi").join(gone, row, "left_anti"))
-    return kept.select(*own_columns(docs))
+    own = own_columns(docs)
+    return marked.join(slots, on, "left_anti").select(*own).union(marked.join(slots, on, "left_semi").join(gone, row, "left_anti").select(*own))
 
 
 SQL = r"""
