@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize, quoted, scope
+from .store import bound_batches, materialize, quoted, scope
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -202,6 +202,7 @@ def _numbered(keyed: DataFrame) -> DataFrame:
 
 def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per block of a conversation: conv_id, block, n_turns, cost, n_relabels, n_merges, n_inserts, n_out, rendered."""
+    bound_batches(turns.sparkSession)
     with scope(turns.sparkSession):
         return _repair(turns, conv_col, turn_col, role_col, text_col)
 

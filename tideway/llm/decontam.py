@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import fresh, materialize, numbered, own_columns, quoted, scope
+from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted, scope
 from .textbytes import ALNUM, Words, blocks, text_buffer
 
 WINDOW = 10
@@ -177,6 +177,7 @@ def _index(docs: DataFrame, cut: DataFrame, text_col: str):
 def find(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """row, n_words, n_hit, items (with an occurring window, sorted) and spans (byte ranges of the hit words) for every row of docs."""
     spark, row, text = docs.sparkSession, F.col(quoted(row_col)), F.col(quoted(text_col))
+    bound_batches(spark)
     with scope(spark):
         cut = materialize(windows(benchmark, item_col, item_text))
         if cut.count() > most:
@@ -190,6 +191,7 @@ def find(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: str = "t
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of docs without a hit word, with the columns of docs."""
+    bound_batches(docs.sparkSession)
     with scope(docs.sparkSession):
         cut = materialize(windows(benchmark, item_col, item_text))
         if cut.count() > most:

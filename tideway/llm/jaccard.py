@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import fresh, materialize, own_columns, quoted, scope
+from .store import bound_batches, fresh, materialize, own_columns, quoted, scope
 from .textbytes import NON_SPACE, Words, blocks, mix, text_buffer
 
 SHINGLE = 5
@@ -282,6 +282,7 @@ def _buckets(narrow: DataFrame, order) -> tuple[DataFrame, DataFrame]:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id of every row of docs; ids are integers."""
     spark = docs.sparkSession
+    bound_batches(spark)
     narrow = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text"))
     with scope(spark):
         sizes = materialize(digests(narrow))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import bound_batches
 from .textbytes import LOWER, blocks, byte_class, text_buffer
 
 FEATURES = 1 << 12
@@ -134,6 +135,7 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
 
 def predict(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs' id, lang_pred, score and ambiguous; learns from the rows for which training holds."""
+    bound_batches(docs.sparkSession)
     rows = sample(docs.filter(training), id_col, text_col, lang_col)
     model = fit([t for t, _ in rows], [v for _, v in rows])
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import bound_batches
 from .textbytes import blocks, mix, text_buffer
 
 #: The model's path, unless encode() or the environment variable SENTENCEPIECE_MODEL names another.
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 ALPHA = 0.5
-CACHE_EDGES = 2_000_000
+CACHE_EDGES = 1_500_000
 _UNIT = re.compile(r" *[^ ]+| +")
 
 
@@ -287,6 +288,7 @@ _lattices: dict = {}
 def encode(docs: DataFrame, key_col: str, text_col: str = "text", model: str = MODEL, alpha: float = ALPHA, seed: int = 0) -> DataFrame:
     """key, piece_ids, n_pieces, decoded_sha256 (of the decoded ids) and lossless (decoding gave the text)."""
     spark: SparkSession = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(read_model(model))
     name = f"{model}:{alpha}"
     kind = docs.schema[key_col].dataType.simpleString()

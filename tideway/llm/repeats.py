@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize, quoted, scope
+from .store import bound_batches, materialize, quoted, scope
 from .textbytes import _BASE, _BASE_INV, BLOCK_BYTES, BYTE_CODES, blocks, mix, powers, text_buffer
 
 SPAN = 200
@@ -345,6 +345,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     keyed = docs.select(F.col(quoted(id_col)).alias("id"), F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(-(1 << 63))).alias("kid"), F.xxhash64(text).alias("th"), text.alias("text"))
     narrow = keyed.select("kid", "th", "text")
+    bound_batches(docs.sparkSession)
     with scope(docs.sparkSession):
         found = materialize(spans(narrow), keep=True)
     merged = found.groupBy("kid", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))  # of one text

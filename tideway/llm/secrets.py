@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import fresh, materialize, numbered, own_columns, quoted
+from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted
 
 SHARED = 3
 #: kind: (pattern, group that holds the value, least length of the value), in the order of ties
@@ -58,6 +58,7 @@ _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 
 def with_spans(docs: DataFrame, text_col: str, keep: list[str], out: str) -> DataFrame:
     """The columns keep of docs and its candidates."""
+    bound_batches(docs.sparkSession)
     columns = [F.col(quoted(c)) for c in keep]
     schema = docs.select(*columns).withColumn(out, F.lit(None).cast(SPANS)).schema
 

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ..storage import Files, scratch
 
 _scopes: list[list[str]] = []
+#: Bytes at which an Arrow batch of texts ends; without it 10,000 rows are one, however long.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at BATCH_BYTES; a session's own setting stays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
