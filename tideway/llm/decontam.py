@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted, scope
-from .textbytes import ALNUM, Words, blocks, text_buffer
+from .textbytes import ALNUM, Words, blocks, releasing, text_buffer
 
 WINDOW = 10
 SHINGLE = 5
@@ -106,7 +106,7 @@ def shingle_counts(docs: DataFrame, text_col: str, wanted) -> DataFrame:
             some = np.flatnonzero(total[s])
             yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[s][some])], names=["shingle", "n"])
 
-    return docs.select(quoted(text_col)).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
+    return docs.select(quoted(text_col)).mapInArrow(releasing(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
 
 
 def prefixes(cut: DataFrame, counts: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                     clean[a + text] = False
             yield pa.RecordBatch.from_arrays(batch.filter(pa.array(clean)).columns, names=names)
 
-    return numbered(docs).mapInArrow(run, docs.schema)
+    return numbered(docs).mapInArrow(releasing(run), docs.schema)
 
 
 def _bits(keys: DataFrame, rows: int) -> np.ndarray:
@@ -246,7 +246,7 @@ def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -
                     h, n = np.unique(h[_set(used.value, h)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
 
-    counts = narrow.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
+    counts = narrow.mapInArrow(releasing(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("uses"))
     rare = materialize(prefixes(cut, counts))
     # a window's prefix is looked for at its place only, so the bit is that of shingle, size and place
     mixed = F.col("shingle").bitwiseXOR((F.col("n") * 16 + F.col("place")).cast("long"))
@@ -274,7 +274,7 @@ def join_windows(docs: DataFrame, cut: DataFrame, row_col: str, text_col: str) -
                         )
 
     kind = docs.schema[row_col].dataType.simpleString()
-    places = narrow.mapInArrow(explode, f"row {kind}, n int, hash long, shingle long, place int, word long, start long, end long")
+    places = narrow.mapInArrow(releasing(explode), f"row {kind}, n int, hash long, shingle long, place int, word long, start long, end long")
     hits = materialize(places.join(rare, ["shingle", "place", "n", "hash"]).select("row", "word", (F.col("word") + F.col("n")).alias("after"), "start", "end", "items"))
     items = hits.select("row", F.explode("items").alias("item")).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
     # runs of hit words: a window that starts behind all before it opens one

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .store import bound_batches, fresh, materialize, own_columns, quoted, scope
-from .textbytes import NON_SPACE, Words, blocks, mix, text_buffer
+from .textbytes import NON_SPACE, Words, blocks, mix, releasing, text_buffer
 
 SHINGLE = 5
 SLOTS = 1 << 18
@@ -110,7 +110,7 @@ def order_of(docs: DataFrame) -> Order:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select("text").mapInArrow(releasing(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     ranks = np.empty(SLOTS, np.int32)
@@ -149,7 +149,7 @@ def digests(docs: DataFrame) -> DataFrame:
             bits = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), _long(n), _long(h1), _long(h2), bits], names=["id", "n", "h1", "h2", "bits"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long, bits array<long>")
+    return docs.select("id", "text").mapInArrow(releasing(run), "id long, n long, h1 long, h2 long, bits array<long>")
 
 
 def prefixes(docs: DataFrame, order) -> DataFrame:
@@ -171,7 +171,7 @@ def prefixes(docs: DataFrame, order) -> DataFrame:
             if out:
                 yield _rows(ids, out)
 
-    return docs.select("id", "text").mapInArrow(run, "token long, id long, n int, pos int")
+    return docs.select("id", "text").mapInArrow(releasing(run), "token long, id long, n int, pos int")
 
 
 def _rows(ids, out):
@@ -230,7 +230,7 @@ def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, order) -> Data
                 yield _sets(batch.column(0), out)
 
     narrow = docs.filter(F.col("id").isNotNull()).select("id", "text", F.pmod(F.xxhash64("id"), F.lit(FLAGS)).alias("flag"))
-    parts = narrow.mapInArrow(cut, "id long, f int, tokens array<long>")
+    parts = narrow.mapInArrow(releasing(cut), "id long, f int, tokens array<long>")
     of_b = open_.select("a", "b").join(parts.withColumnRenamed("id", "b"), "b")
     of_a = parts.select(F.col("id").alias("a"), "f", F.col("tokens").alias("of_a"))
     # written before it is grouped: a join of plain exchanges, in which Spark can split the partners of a pivot

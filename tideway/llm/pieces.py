@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import bound_batches
-from .textbytes import blocks, mix, text_buffer
+from .textbytes import blocks, mix, releasing, text_buffer
 
 #: The model's path, unless encode() or the environment variable SENTENCEPIECE_MODEL names another.
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -315,7 +315,7 @@ def encode(docs: DataFrame, key_col: str, text_col: str = "text", model: str = M
                 yield pa.RecordBatch.from_arrays(arrays, names=["key", "n_pieces", "piece_ids", "decoded_sha256", "lossless"])
 
     narrow = docs.select(F.col(key_col).alias("key"), F.xxhash64(F.col(key_col).cast("string"), F.lit(seed)).alias("draw"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"key {kind}, n_pieces long, piece_ids array<int>, decoded_sha256 string, lossless boolean")
+    return narrow.mapInArrow(releasing(run), f"key {kind}, n_pieces long, piece_ids array<int>, decoded_sha256 string, lossless boolean")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted
+from .textbytes import releasing
 
 SHARED = 3
 #: kind: (pattern, group that holds the value, least length of the value), in the order of ties
@@ -70,7 +71,7 @@ def with_spans(docs: DataFrame, text_col: str, keep: list[str], out: str) -> Dat
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(found, _TYPE)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, out])
 
-    return numbered(docs.select(*columns, F.col(quoted(text_col)))).mapInArrow(scan, schema)
+    return numbered(docs.select(*columns, F.col(quoted(text_col)))).mapInArrow(releasing(scan), schema)
 
 
 def ownership(found: DataFrame, repo: str, owner: str, spans: str) -> DataFrame:
@@ -136,7 +137,7 @@ def redact(docs: DataFrame, text_col: str = "text", repo_col: str = "source", ow
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    hit = numbered(found.filter(F.size(spans) > 0).join(verdicts, row).select(*own_columns(docs), f"{out}live")).mapInArrow(cut, docs.schema)
+    hit = numbered(found.filter(F.size(spans) > 0).join(verdicts, row).select(*own_columns(docs), f"{out}live")).mapInArrow(releasing(cut), docs.schema)
     return found.filter(F.size(spans) == 0).select(*own_columns(docs)).union(hit)
 
 

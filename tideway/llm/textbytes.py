@@ -4,6 +4,8 @@ A text column of a record batch is one run of bytes and an array of offsets, so
 that words and their hashes are found for all rows of a batch at once.
 """
 
+import ctypes
+import functools
 import hashlib
 
 import numpy as np
@@ -72,6 +74,22 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES, rows: int = 1 << 20):
         a = b
 
 
+def releasing(run):
+    """run for mapInArrow, which at the end of each task gives freed memory back to the system: Python workers live on and keep it otherwise."""
+
+    @functools.wraps(run)
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return out
+
+
 def byte_class(keep) -> np.ndarray:
     """A table of 256 flags from a predicate over byte values."""
     return np.array([bool(keep(b)) for b in range(256)])
