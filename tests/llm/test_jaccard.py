@@ -58,6 +58,18 @@ def test_null_ids_repeats_and_clashing_columns(spark):
     assert jaccard.keep_first(df).columns == df.columns
 
 
+def test_many_rows_of_one_id(spark):
+    """A third of the rows share an id and a text, a third an id and near copies, and links run through the shared ids."""
+    w = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join([*w[:50], f"e{k}", *w[51:]])
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(8, " ".join(w))] * 2000 + [(7, near(k)) for k in range(2000)] + [(7, other), (3, other + " end"), (5, "alone"), (None, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert got == {(8, 3), (7, 3), (3, 3), (5, 5), (None, None)}
+    assert jaccard.join(df).count() == len(rows)
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark):
     import corpus_pipeline
 

@@ -22,7 +22,8 @@ of them, the most frequent first, which bounds a list and no result), and the pr
    groups of copies are never expanded into all pairs.
 
 Defined results: an empty or null text has an empty set and links with nothing; a text of
-fewer than five words is one shingle; rows that share an id are one node; a null id is its own
+fewer than five words is one shingle; rows that share an id are one node, however many they
+are (each is searched by a number of its own, so no id is a hot key); a null id is its own
 component (null); an empty table gives an empty result; other columns are left alone.
 """
 
@@ -279,6 +280,38 @@ def _buckets(narrow: DataFrame, order) -> tuple[DataFrame, DataFrame]:
     return rows, materialize(rows.groupBy("token").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
 
 
+def _groups(narrow: DataFrame, sizes: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(id, component) of the rows of narrow that link, or that the edges known (u, v) tie; non-null ids are distinct."""
+    spark = narrow.sparkSession
+    order = spark.sparkContext.broadcast(order_of(narrow))
+    rows, buckets = _buckets(narrow, order)
+    if refined := with_hot(order.value, buckets):
+        order = spark.sparkContext.broadcast(refined)
+        rows, buckets = _buckets(narrow, order)
+    shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (F.col("place") == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
+    shared = materialize(shared)
+    p, m = shared.filter("pivot").alias("p"), shared.alias("m")
+    star = p.join(m, (F.col("p.token") == F.col("m.token")) & (F.col("p.id") != F.col("m.id")) & _possible("p", "m"))
+    pairs = star.select(F.col("p.id").alias("a"), F.col("m.id").alias("b")).distinct()
+    links = _copies(sizes).union(verified(narrow, pairs, sizes.filter(F.col("id").isNotNull()), order))
+    links = materialize(links.union(known) if known else links)
+    reached = components(links)
+    more = verified(narrow, _hidden(shared, reached), sizes, order)
+    return components(links.union(more.select("a", "b")))
+
+
+def _by_row(narrow: DataFrame) -> DataFrame:
+    """(id, component) where ids repeat: every row is a node under a written number, tied to the first row of its id."""
+    marked = materialize(narrow.filter(F.col("id").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "id", "text"))
+    nodes = marked.select(F.col("row").alias("id"), "text")
+    first = materialize(marked.groupBy("id").agg(F.min("row").alias("v")))
+    tied = marked.select("row", "id").join(first, "id").filter("row <> v").select(F.col("row").alias("u"), "v")
+    groups = _groups(nodes, materialize(digests(nodes)), materialize(tied)).withColumnRenamed("id", "row")
+    placed = materialize(first.select("id", F.col("v").alias("row")).join(groups, "row", "left").select("id", F.coalesce("component", "row").alias("group")))
+    least = materialize(placed.groupBy("group").agg(F.min("id").alias("component")))
+    return materialize(placed.join(least, "group").select("id", "component"))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id of every row of docs; ids are integers."""
     spark = docs.sparkSession
@@ -286,21 +319,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     narrow = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text"))
     with scope(spark):
         sizes = materialize(digests(narrow))
-        order = spark.sparkContext.broadcast(order_of(narrow))
-        rows, buckets = _buckets(narrow, order)
-        if refined := with_hot(order.value, buckets):
-            order = spark.sparkContext.broadcast(refined)
-            rows, buckets = _buckets(narrow, order)
-        shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (F.col("place") == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
-        shared = materialize(shared)
-        p, m = shared.filter("pivot").alias("p"), shared.alias("m")
-        star = p.join(m, (F.col("p.token") == F.col("m.token")) & (F.col("p.id") != F.col("m.id")) & _possible("p", "m"))
-        pairs = star.select(F.col("p.id").alias("a"), F.col("m.id").alias("b")).distinct()
-        links = _copies(sizes).union(verified(narrow, pairs, sizes.filter(F.col("id").isNotNull()), order))
-        links = materialize(links)
-        reached = components(links)
-        more = verified(narrow, _hidden(shared, reached), sizes, order)
-        final = components(links.union(more.select("a", "b")))
+        repeated = sizes.filter(F.col("id").isNotNull()).groupBy("id").count().filter("count > 1")
+        final = _groups(narrow, sizes) if repeated.isEmpty() else _by_row(narrow)
         found = sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
         return materialize(found, keep=True)
 
