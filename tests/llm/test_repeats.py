@@ -40,6 +40,18 @@ def test_equal_rows_and_null_ids(spark):
     assert got == [(0, len(t)), (1, len(t)), (1, len(t)), (2, 0)]
 
 
+def test_many_equal_rows_are_searched_once(spark, monkeypatch):
+    """Rows without an id that repeat one text share a passage with another text."""
+    passage = "".join(chr(97 + (i * i * i + 3 * i) % 26) for i in range(2000))[:400]
+    rows = [(None, "head " + passage + " tail")] * 3000 + [(1, passage + " and more"), (2, "none of it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    counts = []
+    monkeypatch.setattr(repeats, "_search", lambda b, f=repeats._search: counts.append((b.count(), b.select("gram", "seg", "off").distinct().count())) or f(b))
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.remove(df).collect()}
+    assert got == {(i, *v) for i, v in brute([rows[0], *rows[2999:]]).items()} and repeats.remove(df).count() == len(rows)
+    assert all(a == b for a, b in counts)
+
+
 def test_empty(empty):
     assert repeats.remove(empty).count() == 0
 

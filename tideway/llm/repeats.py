@@ -22,8 +22,9 @@ Per text, covered bytes are joined back by (id, hash of the text); texts without
 part in the join (a filter of FLAGS flags, so bounded, lets the others through).
 
 Defined results: a null or empty text, or one of under SPAN bytes, keeps all its bytes;
-overlapping occurrences in one text count; equal rows are copies of each other; a very long
-text is searched in pieces; an empty table gives an empty result.
+overlapping occurrences in one text count; equal rows are copies of each other, and of rows of
+equal id and text one is cut for all, however many there are; a very long text is searched in
+pieces; an empty table gives an empty result.
 """
 
 import hashlib
@@ -121,7 +122,7 @@ def _owned(docs: DataFrame) -> DataFrame:
 
 
 def _flagged(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows (kid, th, text) that may be among keys: a filter of bounded size, so that most others skip the shuffle."""
+    """The rows (kid, th, text) that may be among keys, equal ones once: a filter of bounded size, so that most others skip the shuffle."""
     slot = F.pmod(F.xxhash64("kid", "th"), F.lit(FLAGS))
     flags = np.zeros(FLAGS, bool)
     flags[keys.select(slot.alias("s")).distinct().toArrow()["s"].to_numpy()] = True
@@ -132,7 +133,7 @@ def _flagged(docs: DataFrame, keys: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(on[batch.column(3).to_numpy()])).select(["kid", "th", "text"])
 
-    return docs.withColumn("slot", slot).select("kid", "th", "text", "slot").mapInArrow(run, "kid long, th long, text string")
+    return docs.withColumn("slot", slot).select("kid", "th", "text", "slot").mapInArrow(run, "kid long, th long, text string").dropDuplicates(["kid", "th"])
 
 
 def suffix_array(members: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -368,7 +369,9 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 digest.append(kept.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string())], names=["kid", "th", "n_removed", "n_spans", "kept_sha256"])
 
-    cut = _flagged(narrow, found).join(merged, ["kid", "th"]).mapInArrow(run, "kid long, th long, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["kid", "th"])
+    cut = _flagged(narrow, found).join(merged, ["kid", "th"]).mapInArrow(run, "kid long, th long, n_removed long, n_spans long, kept_sha256 string")
+    # written, so that the join has plain exchanges on both sides and Spark can split rows that are repeated very often
+    cut = materialize(cut)
     base = keyed.select("id", "kid", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     joined = base.join(cut, ["kid", "th"], "left")
     return joined.select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
