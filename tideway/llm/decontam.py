@@ -46,23 +46,23 @@ def windows(benchmark: DataFrame, id_col: str, text_col: str, size: int = WINDOW
 
     def cut(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids = batch.column(0).fill_null("")
             data, offsets = text_buffer(batch.column(1))
-            rows = []
             for a, b in blocks(offsets):
                 w = _words(data, offsets, a, b)
-                for i in range(b - a):
-                    n = int(w.first[i + 1] - w.first[i])
-                    k = min(size, n)
-                    if not k:
-                        continue
+                item_of = np.repeat(np.arange(b - a), np.diff(w.first))
+                k_of = np.minimum(np.diff(w.first), size)[item_of]
+                for k in np.unique(k_of).tolist():  # at most size of them
                     s = min(SHINGLE, k)
                     whole, parts = w.windows(k), w.windows(s)
-                    for at in range(w.first[i], w.first[i + 1] - k + 1):
-                        rows += [(ids[a + i] or "", k, whole[at], parts[at + j], j, s < SHINGLE) for j in range(k - s + 1)]
-            item, n, h, s, j, short = zip(*rows, strict=True) if rows else ((),) * 6
-            as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(n, pa.int32()), as_long(h), as_long(s), pa.array(j, pa.int32()), pa.array(short, pa.bool_())], names=["item", "n", "hash", "shingle", "place", "short"])
+                    at = np.flatnonzero(k_of == k)
+                    at = at[at + k <= w.first[item_of[at] + 1]]
+                    for j in range(k - s + 1):
+                        as_long = lambda x: pa.array(x.view(np.int64))
+                        same = lambda x, t, n=len(at): pa.array(np.full(n, x), t)
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(a + item_of[at])), same(k, pa.int32()), as_long(whole[at]), as_long(parts[at + j]), same(j, pa.int32()), same(s < SHINGLE, pa.bool_())], names=["item", "n", "hash", "shingle", "place", "short"]
+                        )
 
     return benchmark.select(F.col(quoted(id_col)).cast("string"), F.col(quoted(text_col))).mapInArrow(cut, WINDOWS)
 
