@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, jaccard, langid, pieces, pii, quality, repeats, secrets, toxicity
+from . import chat, decontam, jaccard, langid, packing, periods, phrases, pieces, pii, quality, repeats, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,6 +49,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_read(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.query(_read(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.query(_read(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
@@ -60,6 +72,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -69,4 +84,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ngram_jaccard": jaccard.SQL,
     "op9_secrets": secrets.SQL,
     "op10_quality_rules": quality.SQL,
+    "op11_phrase_collocations": phrases.SQL,
+    "op12_periodic_runs": periods.SQL,
 }
