@@ -9,7 +9,7 @@ from tideway.operators import deliver, jdbc, load
 from tideway.plans.flow import Flow
 from tideway.sinks import files
 from tideway.sources import scan
-from tideway.sources.incremental import Incremental, StateTable
+from tideway.sources.incremental import Incremental, StateTable, Watermark, WatermarkError, as_state, from_state
 from tideway.streaming.staged import deliver_stream, merge_stream
 
 T0 = dt.datetime(2026, 6, 9, 8)
@@ -46,7 +46,7 @@ def test_filter_is_pushed_down(spark, tmp_path):
 def test_flow_resumes(spark, tmp_path):
     state, out = str(tmp_path / "s"), str(tmp_path / "t")
     flow = Flow(lambda s: events(s, 3), "append", {"path": out}, Incremental("updated_at"), state)
-    assert (flow.run(spark).rows, StateTable(spark, state).read("flow")) == (4, "2026-06-09 10:00:00")
+    assert (flow.run(spark).rows, StateTable(spark, state).read("flow")) == (4, Watermark("2026-06-09 10:00:00", "timestamp_ntz"))
     again = Flow(lambda s: events(s, 6), "append", {"path": out}, Incremental("updated_at"), state)
     assert again.run(spark).rows == 3
     idle = again.run(spark)
@@ -54,6 +54,46 @@ def test_flow_resumes(spark, tmp_path):
     assert ids(load.FileTable(spark, out).read()) == [0, 1, 2, 3, 4, 5, 99]
 
 
+def test_watermarks_are_instants(spark, tmp_path):
+    """Three runs in sessions of three zones over a growing source, across the end of summer time, take every row once."""
+    state, out = str(tmp_path / "s"), str(tmp_path / "t")
+    first = dt.datetime(2024, 11, 2, 20, tzinfo=dt.UTC)
+    micros = [int((first + dt.timedelta(minutes=20 * i)).timestamp()) * 1_000_000 + i for i in range(90)]
+    source = lambda upto: lambda s: s.createDataFrame([(m,) for m in micros[:upto]], "m long").select(F.timestamp_micros("m").alias("at"))
+    run = lambda upto: Flow(source(upto), "append", {"path": out}, Incremental("at", initial="2024-11-02T20:00:00"), state).run(spark)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = []
+    try:
+        for zone, upto in (("UTC", 17), ("America/Los_Angeles", 41), ("Asia/Tokyo", 70), ("America/Los_Angeles", 90)):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            report = run(upto)
+            rows.append(report.rows)
+            assert report.watermark == (first + dt.timedelta(minutes=20 * (upto - 1), microseconds=upto - 1)).isoformat(" ")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert rows == [16, 24, 29, 20]  # the first row is at the initial bound itself
+    got = sorted(r[0] for r in load.FileTable(spark, out).read().select(F.unix_micros("at")).collect())
+    assert got == micros[1:] and StateTable(spark, state).read("flow") == Watermark(str(micros[-1]), "timestamp")
+
+
+def test_watermarks_keep_their_type(spark, tmp_path):
+    state = str(tmp_path / "s")
+    flow = lambda kind: Flow(lambda s: events(s).withColumn("updated_at", F.col("updated_at").cast(kind)), "none", incremental=Incremental("updated_at"), state=state)
+    flow("timestamp_ntz").run(spark)
+    with pytest.raises(WatermarkError, match="timestamp_ntz"):
+        flow("timestamp").run(spark)
+    StateTable(spark, state)._versions("old").commit(1, '{"value": "2024-01-01 00:00:00", "type": "timestamp"}')
+    with pytest.raises(WatermarkError):
+        StateTable(spark, state).read("old")
+    values = spark.range(1).select(
+        F.lit(3.5).alias("double"), F.lit("o'b").alias("string"), F.lit(b"\x00\xff").alias("binary"), F.expr("1.50").alias("decimal"), F.expr("date'2024-02-29'").alias("date"),
+        F.expr("timestamp_ntz'2024-03-31 02:30:00.000001'").alias("ntz"), F.expr("timestamp'2024-03-31 02:30:00.000001Z'").alias("instant"), F.expr("-5L").alias("long"),
+    )
+    for f in values.schema:
+        text = values.select(as_state(F.col(f.name), f.dataType)).first()[0]
+        assert values.select(from_state(text, f.dataType) == F.col(f.name)).first()[0], f.name
+
+
 def test_failed_write_keeps_watermark(spark, tmp_path):
     state = str(tmp_path / "s")
     bad = Flow(lambda s: events(s).withColumn("x", F.when(F.col("id") == 4, F.raise_error(F.lit("broken")).cast("int")).otherwise(1)), "append", {"path": str(tmp_path / "t")}, Incremental("updated_at"), state)
@@ -271,8 +311,8 @@ def test_two_writers(spark, tmp_path):
         b.create(df((1, "x")).schema)
     state = StateTable(spark, str(tmp_path / "state"))
     for v in ("1", "2", "3"):
-        state.store("a/b", v, "string")
-    assert state.read("a/b") == "3" and state.read("a") is None
+        state.store("a/b", Watermark(v, "string"))
+    assert state.read("a/b") == Watermark("3", "string") and state.read("a") is None
 
 
 def test_merge_rewrites_touched_buckets_only(spark, tmp_path):

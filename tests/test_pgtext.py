@@ -143,3 +143,19 @@ def test_copy_round_trip(spark, tmp_path):
     assert sorted(copytext.read(spark, str(tmp_path / "x"), df.schema).collect()) == sorted(df.collect())
     with pytest.raises(Exception):
         copytext.parse(spark.createDataFrame([("1\t2",)], "line string"), df.schema).collect()
+
+
+def test_instants_keep_their_offset(spark):
+    """Encoded under one session's zone and decoded under another's, across both changes of summer time."""
+    micros = [int(dt.datetime(2024, m, d, h, 30, tzinfo=dt.UTC).timestamp()) * 1_000_000 + 7 for m, d in ((3, 10), (11, 3), (3, 31), (10, 27)) for h in range(24)] + [-1, -62_135_596_800_000_000 + 1]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(m,) for m in micros], "m long")
+        text = [tuple(r) for r in df.select("m", pgtext.encode(F.timestamp_micros("m"), T.TimestampType())).collect()]
+        assert dict(text)[micros[0]] == "2024-03-10 00:30:00.000007+00"
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        back = spark.createDataFrame(text, "m long, t string").select("m", F.unix_micros(pgtext.decode(F.col("t"), T.TimestampType())).alias("n")).collect()
+        assert all(r["m"] == r["n"] for r in back)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -132,7 +132,7 @@ def watermark_after_run(spark, sf_dir):
     flow = Flow(lambda s: table(s, sf_dir, "events"), "none", incremental=Incremental("ts", initial=BOUND), state=state, name="events")
     report = flow.run(spark)
     stored = StateTable(spark, state).read("events")
-    return spark.createDataFrame([(stored, report.rows)], "watermark string, n long").select(F.date_format(F.col("watermark").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("watermark"), "n")
+    return spark.createDataFrame([(str(stored), report.rows)], "watermark string, n long").select(F.date_format(F.col("watermark").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("watermark"), "n")
 
 
 @query("SELECT * FROM events")
@@ -144,6 +144,35 @@ def watermark_chain(spark, sf_dir):
     return load.FileTable(spark, out).read()
 
 
+@query("SELECT event_id, epoch_us(ts) AS micros FROM events")
+def watermark_zones(spark, sf_dir):
+    """Three runs over a growing source with an instant as cursor, each in a session of another time zone, cover every row once."""
+    state, out, before = scratch(spark, "state"), scratch(spark, "table"), spark.conf.get("spark.sql.session.timeZone")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    try:
+        for zone, upto in (("UTC", BOUND), ("America/Los_Angeles", LATE), ("Asia/Tokyo", "2999-01-01")):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            grown = lambda s, u=upto: table(s, sf_dir, "events").filter(F.col("ts") <= F.lit(u).cast("timestamp_ntz")).select("event_id", F.timestamp_micros(micros).alias("at"))
+            Flow(grown, "append", {"path": out}, Incremental("at"), state, "events").run(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    return load.FileTable(spark, out).read().select("event_id", F.unix_micros("at").alias("micros"))
+
+
+@query("SELECT event_id, epoch_us(ts) AS micros FROM events")
+def encode_instants(spark, sf_dir):
+    """Instants as COPY text, written in a session of one time zone and read in one of another."""
+    path, before = scratch(spark, "copy"), spark.conf.get("spark.sql.session.timeZone")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    instants = table(spark, sf_dir, "events").select("event_id", F.timestamp_micros(micros).alias("at"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        copytext.write(instants, path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    return copytext.read(spark, path, instants.schema).select("event_id", F.unix_micros("at").alias("micros"))
+
+
 # Sinks
 
 

@@ -149,8 +149,12 @@ def encode(value: Column, kind: T.DataType) -> Column:
         return F.when(value, "t").when(~value, "f")
     if isinstance(kind, T.DateType):
         return F.date_format(value, "yyyy-MM-dd")
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        return value.cast("timestamp_ntz").cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        return value.cast("string")
+    if isinstance(kind, T.TimestampType):  # in UTC, with its offset: the session's zone plays no part
+        seconds = (F.unix_micros(value).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.concat((start + F.make_dt_interval(secs=seconds)).cast("string"), F.lit("+00"))
     if isinstance(kind, T.BinaryType):
         return F.concat(F.lit("\\x"), F.lower(F.hex(value)))
     if isinstance(kind, T.ArrayType):

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks.files import counted
-from ..sources.incremental import Incremental, StateTable
+from ..sources.incremental import Incremental, StateTable, Watermark
 
 #: Sinks by name: functions of (rows, options) that write all rows or none.
 SINKS: dict[str, Callable[[DataFrame, dict], object]] = {}
@@ -88,6 +88,8 @@ class Flow:
         rows, seen = self.incremental.observe(self.incremental.apply(df, last))
         SINKS[self.sink](rows, self.options)
         found = seen.get
+        kind = df.schema[self.incremental.cursor].dataType.simpleString()
+        mark = Watermark(found["watermark"], kind) if found["watermark"] is not None else last
         if table:
-            table.store(self.name, found["watermark"], df.schema[self.incremental.cursor].dataType.simpleString())
-        return Report(found["rows"], found["watermark"] if found["watermark"] is not None else last)
+            table.store(self.name, mark)
+        return Report(found["rows"], str(mark) if mark else None)
