@@ -1,5 +1,10 @@
 import datetime as dt
+import glob
+import json
 import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,7 +128,9 @@ def test_parquet_sink(spark, tmp_path):
     assert rows == 60_000 and len(made) > 3 and max(sizes) < 1.3 * 2**20 and min(sizes[:-1]) > 0.5 * 2**20
     assert sorted(os.listdir(tmp_path))[-1].startswith("x.0000000") and spark.read.parquet(*made).count() == 60_000
     assert files.write_parquet(df.limit(0), str(tmp_path), "none") == (0, [])
-    assert files.write_parquet(df.limit(3), str(tmp_path), "one")[0] == 3
+    assert files.write_parquet(df.limit(3), str(tmp_path), "one", single=True) == (3, [f"file:{tmp_path}/one.snappy.parquet"])
+    rows, parts = files.write_parquet(df.repartition(3), str(tmp_path), "parts", "zstd")
+    assert rows == 60_000 and [p.rpartition("/")[2] for p in parts] == [f"parts.{i:08d}.zstd.parquet" for i in (1, 2, 3)]
     before = sorted(os.listdir(tmp_path))
     with pytest.raises(Exception):
         files.write_parquet(df.withColumn("b", F.raise_error(F.lit("broken"))), str(tmp_path), "bad")
@@ -334,29 +341,139 @@ def test_latest_is_the_same_on_every_run(spark):
     assert len(one) == 1 and [r["k"] for r in next(iter(one))] == [None, None, 1, 2]
 
 
-def test_chunks_show_while_the_write_runs(spark, tmp_path):
-    folder = str(tmp_path)
+def test_early_chunks_count_from_their_tasks_commit(spark, tmp_path):
+    """The second task waits until a follower sees the chunks of the first one."""
+    folder, seen = str(tmp_path / "f"), str(tmp_path / "seen")
+    os.mkdir(folder)
     text = F.expr("array_join(transform(sequence(1, 4), k -> sha2(concat_ws('-', id, k), 256)), '')")
-    df = spark.range(0, 60_000, 1, 2).select("id", text.alias("t"))
+    df = spark.range(0, 20_000, 1, 2).select("id", text.alias("t"))
 
-    def watch(batches):
+    def wait(batches):
         import pyarrow as pa
 
         for batch in batches:
-            seen = len([f for f in os.listdir(folder) if not f.startswith((".", "_"))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([seen] * batch.num_rows, pa.int32())], names=["id", "t", "seen"])
+            first, counted = batch.column(0)[0].as_py() < 10_000, 0
+            for _ in range(600):
+                if first or counted:
+                    break
+                time.sleep(0.1)
+                lists = glob.glob(f"{folder}/_handover/run=*/part-*.json")
+                counted = sum(json.loads(line)["rows"] for p in lists for line in open(p))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([counted] * batch.num_rows, pa.int64())], names=["id", "t", "seen"])
+
+    rows, made = files.write_parquet(df.mapInArrow(wait, "id long, t string, seen long"), folder, "x", "snappy", "256KiB", early=True)
+    assert rows == 20_000 and max(os.path.getsize(p.removeprefix("file:")) for p in made) <= 256 * 1024
+    assert spark.read.parquet(*made).agg(F.max("seen")).first()[0] == 10_000
+    kept = {f for f in os.listdir(folder) if not f.startswith(".")}
+    assert kept == {"_handover", *(p.rpartition("/")[2] for p in made)}
+    with pytest.raises(Exception):
+        files.write_parquet(df.withColumn("t", F.when(F.col("id") == 19_999, F.raise_error(F.lit("broken"))).otherwise(F.col("t"))), folder, "y", "snappy", "256KiB", early=True)
+    assert {f for f in os.listdir(folder) if not f.startswith(".")} == kept and files.handed_over(spark, folder).count() == len(made)
+    for _ in range(2):
+        deliver_stream(spark, folder, str(tmp_path / "o"), str(tmp_path / "l"), str(tmp_path / "c"), early=True)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 20_000 and seen
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    try:
-        rows, made = files.write_parquet(df.mapInArrow(watch, "id long, t string, seen int"), folder, "x", "snappy", "256KiB", early=True)
-        assert rows == 60_000 and spark.read.parquet(*made).agg(F.max("seen")).first()[0] > 3
-        assert max(os.path.getsize(p.removeprefix("file:")) for p in made) <= 256 * 1024
-        kept = set(os.listdir(folder))
-        with pytest.raises(Exception):
-            files.write_parquet(df.withColumn("t", F.when(F.col("id") == 29_999, F.raise_error(F.lit("broken"))).otherwise(F.col("t"))), folder, "y", "snappy", "256KiB", early=True)
-        assert {f for f in os.listdir(folder) if not f.startswith(".")} <= kept
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+_RETRIED = """
+import os, sys
+from pyspark.sql import SparkSession, functions as F
+from pyspark import TaskContext
+from tideway.sinks import files
+from tideway.streaming.staged import deliver_stream
+
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+root = sys.argv[1]
+
+def narrower(batches):
+    import pyarrow as pa
+    again = TaskContext.get().attemptNumber()
+    for batch in batches:
+        if not again and batch.column(0)[-1].as_py() >= 45_000:
+            raise RuntimeError("the first attempt of this task fails")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([str(i) * (1 if again else 40) for i in batch.column(0).to_pylist()])], names=["id", "t"])
+
+df = spark.range(0, 50_000, 1, 2).mapInArrow(narrower, "id long, t string")
+for early in (True, False):
+    folder = f"{root}/{early}"
+    os.mkdir(folder)
+    rows, made = files.write_parquet(df, folder, "x", "snappy", "64KiB", early=early)
+    there = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    print(early, rows, spark.read.parquet(folder).count(), spark.read.parquet(folder).distinct().count(), len(there) == len(made))
+deliver_stream(spark, f"{root}/True", f"{root}/out", f"{root}/ledger", f"{root}/check", early=True)
+print(spark.read.parquet(f"{root}/out").count())
+"""
+
+
+def test_chunks_of_a_task_that_is_tried_again_count_once(tmp_path):
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", _RETRIED, str(tmp_path)], cwd=here, env=os.environ | {"PYTHONPATH": here}, capture_output=True, text=True, timeout=300)
+    assert out.stdout.splitlines() == ["True 50000 50000 50000 True", "False 50000 50000 50000 True", "50000"], out.stderr[-2000:]
+
+
+def test_two_attempts_at_one_time_write_files_of_their_own(spark, tmp_path, monkeypatch):
+    """As under speculation: both write the same task's chunks into one folder, one is ended."""
+    import pyarrow as pa
+
+    class Context:
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(files.TaskContext, "get", lambda: Context)
+    batches = [pa.RecordBatch.from_arrays([pa.array([os.urandom(30).hex() for _ in range(1000)])], names=["t"]) for _ in range(6)]
+    one, two = (files._rolling(str(tmp_path), "x", "snappy", 64 * 1024)(iter(b)) for b in (batches, batches[::-1]))
+    names, other = [next(one)], [next(two)]
+    names += one
+    other += [next(two)]
+    two.close()
+    assert sorted(os.listdir(tmp_path)) == sorted(b["name"][0].as_py() for b in names) and len(other) == 2
+    assert spark.read.parquet(str(tmp_path)).count() == 6000
+
+
+@pytest.fixture
+def mounted(spark, tmp_path):
+    """A folder under a scheme that Hadoop knows and pyarrow does not."""
+    name = f"m{os.urandom(4).hex()}"
+    (tmp_path / "mounted").mkdir()
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.{name}.link./at", f"file://{tmp_path}/mounted")
+    return f"viewfs://{name}/at", tmp_path / "mounted"
+
+
+def test_chunks_and_copies_on_a_store_that_only_spark_knows(spark, mounted, tmp_path):
+    at, local = mounted
+    text = lambda n: F.expr(f"array_join(transform(sequence(1, {n}), k -> sha2(concat_ws('-', id, k), 256)), '')")
+    df = spark.range(0, 6_000, 1, 2).select("id", F.when(F.col("id") >= 5_500, text(30)).otherwise("x").alias("t"))
+    for early in (False, True):
+        folder = f"{at}/{early}"
+        os.mkdir(local / str(early))
+        rows, made = files.write_parquet(df, folder, "x", "snappy", "128KiB", early=early)
+        there = [p for p in os.listdir(local / str(early)) if p.endswith(".parquet")]
+        assert rows == 6_000 and len(there) == len(made) > 5 and max(os.path.getsize(local / str(early) / p) for p in there) <= 128 * 1024
+        assert spark.read.parquet(folder).exceptAll(df).isEmpty() and spark.read.parquet(folder).count() == rows
+    assert files.handed_over(spark, f"{at}/True").count() == len(made)
+    raw = {"a.txt": b"one\ntwo\n", "b.bin": bytes(range(256)) * 3, "c": b"x", "d": b"end\xff", "e f=%": b"\n", "g": bytes([200, 128]) * 2, "h": "größe".encode(), "z": b"\x00"}
+    os.mkdir(local / "raw")
+    for name, data in raw.items():
+        (local / "raw" / name).write_bytes(data)
+    listed = deliver.manifest(spark, f"{at}/raw")
+    assert deliver.deliver(listed, f"{at}/out", str(tmp_path / "ledger")) == len(raw)
+    assert {p.name: p.read_bytes() for p in (local / "out").iterdir() if not p.name.startswith(".")} == raw
+    assert deliver.deliver(listed, f"{at}/out", str(tmp_path / "ledger")) == 0
+
+
+def test_a_replaced_file_goes_again(spark, tmp_path):
+    staged, out, ledger = tmp_path / "s", tmp_path / "o", str(tmp_path / "l")
+    staged.mkdir()
+    (staged / "a").write_bytes(b"first")
+    (staged / "b").write_bytes(b"other")
+    go = lambda f: deliver.deliver(deliver.manifest(spark, str(f)), str(out), ledger)
+    assert (go(staged), go(staged)) == (2, 0)
+    (staged / "a").write_bytes(b"again")
+    os.utime(staged / "a", (1_900_000_000, 1_900_000_000))
+    assert go(staged) == 1 and (out / "a").read_bytes() == b"again" and go(staged) == 0
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "b").write_bytes(b"from elsewhere")
+    with pytest.raises(ValueError, match="before"):
+        go(tmp_path / "t")
 
 
 def test_streams(spark, tmp_path):

@@ -192,10 +192,18 @@ def _folder(spark) -> str:
 @query("SELECT * FROM lineitem")
 def parquet_single(spark, sf_dir):
     df, folder = table(spark, sf_dir, "lineitem"), _folder(spark)
-    files.write_parquet(df, folder, "lineitem")
+    files.write_parquet(df, folder, "lineitem", single=True)
     return spark.read.parquet(f"{folder}/lineitem.snappy.parquet")
 
 
+@query("SELECT * FROM lineitem")
+def parquet_parts(spark, sf_dir):
+    """Every partition a part: read back as the folder that they are in."""
+    folder = _folder(spark)
+    files.write_parquet(table(spark, sf_dir, "lineitem").repartition(6), folder, "lineitem", "zstd")
+    return spark.read.parquet(folder)
+
+
 @query("SELECT *, false AS over FROM lineitem")
 def parquet_chunked(spark, sf_dir):
     """Every row, and whether its chunk is over the cap."""
@@ -206,11 +214,20 @@ def parquet_chunked(spark, sf_dir):
 
 @query("SELECT *, false AS over FROM documents")
 def parquet_chunks_early(spark, sf_dir):
-    """Texts of very different lengths, sorted from short to long, in chunks that show while later ones fill."""
+    """All that is in a folder after a write of early chunks that failed half-way, and one that did not."""
     docs, folder = table(spark, sf_dir, "documents"), _folder(spark)
     ordered = docs.repartitionByRange("n_chars").sortWithinPartitions("n_chars")
-    _, made = files.write_parquet(ordered, folder, "documents", "gzip", "256KiB", early=True)
-    return spark.read.parquet(*made).withColumn("over", F.col("_metadata.file_size") > files.parse_size("256KiB"))
+    longest = docs.agg(F.max("n_chars")).first()[0]
+    broken = ordered.withColumn("text", F.when(F.col("n_chars") >= longest, F.raise_error(F.lit("stopped at the longest text")).cast("string")).otherwise(F.col("text")))
+    for frame in (broken, ordered):  # the first write fails in its last task, and takes back what others have handed over
+        try:
+            files.write_parquet(frame, folder, "documents", "gzip", "256KiB", early=True)
+        except Exception:
+            if frame is ordered:
+                raise
+    handed = files.handed_over(spark, folder).select(F.col("name").alias("__name"))
+    there = spark.read.parquet(folder).withColumn("over", F.col("_metadata.file_size") > files.parse_size("256KiB")).withColumn("__name", F.col("_metadata.file_name"))
+    return there.join(F.broadcast(handed), "__name", "left").drop("__name")
 
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS codec, count(*) AS n, sum(o_orderkey) AS keys FROM orders" for c in files.CODECS))
@@ -366,7 +383,7 @@ def stream_merge(spark, sf_dir):
 def _staged_files(spark, sf_dir) -> str:
     folder = _folder(spark)
     for name in ("region", "nation", "supplier", "part", "customer"):
-        files.write_parquet(table(spark, sf_dir, name), folder, name)
+        files.write_parquet(table(spark, sf_dir, name), folder, name, single=True)
     return folder
 
 

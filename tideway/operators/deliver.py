@@ -1,21 +1,26 @@
 """Delivery of finished files: manifest, ledger, and copies made by executors.
 
 Files that the ledger does not list are copied under their own names; a copy replaces an
-earlier one in one step, so that a repeat is harmless. Copies run in rounds of at most ROUND
-files. A copy that fails does not stop its round: the ledger gets the files that were copied,
-and the error is raised behind it, so that the next call goes on with what is left, and a lost
-driver costs one round. Two files of one name would overwrite each other: that is an error.
+earlier one in one step, so that a repeat is harmless. A file is known by its path, length and
+time, so that one that is written anew under its name goes again. Copies run in rounds of at
+most ROUND files. A copy that fails does not stop its round: the ledger gets the files that were
+copied, and the error is raised behind it, so that the next call goes on with what is left, and a
+lost driver costs one round. Two files of one name would overwrite each other, in one manifest
+or one delivered before from another path: that is an error.
+
+Tasks copy through pyarrow where it knows both stores. Elsewhere Spark's own reader and writer
+carry the bytes, so that any store of Hadoop's will do: a file is then one row, of 2 GB at most.
 """
 
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import Files, arrow_at, scratch
+from ..storage import Files, arrow_at, arrow_knows, scratch
 
-MANIFEST = "path string, file_name string, length long"
+MANIFEST = "path string, file_name string, length long, modified timestamp"
 #: error is NULL where the file was delivered.
 LEDGER = MANIFEST + ", error string"
 COPY_BYTES = 8 << 20
@@ -23,9 +28,18 @@ ROUND = 10_000
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """path, file_name and length of the finished files of a folder, but for empty ones; contents are not read."""
+    """path, file_name, length and time of the finished files of a folder, but for empty ones; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    return listed(files)
+
+
+def listed(files: DataFrame) -> DataFrame:
+    """The manifest of rows of Spark's binaryFile source."""
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", F.col("modificationTime").alias("modified"))
+
+
+def _delivered(spark: SparkSession, ledger: str) -> DataFrame:
+    return spark.read.schema(LEDGER).parquet(ledger).filter("error IS NULL")
 
 
 def pending(listed: DataFrame, ledger: str) -> DataFrame:
@@ -33,8 +47,7 @@ def pending(listed: DataFrame, ledger: str) -> DataFrame:
     spark = listed.sparkSession
     if not Files(spark).exists(ledger):
         return listed
-    done = spark.read.schema(LEDGER).parquet(ledger).filter("error IS NULL").select("path")
-    return listed.join(done, "path", "left_anti")
+    return listed.join(_delivered(spark, ledger).select("path", "length", "modified"), ["path", "length", "modified"], "left_anti")
 
 
 def copy_file(source: str, folder: str, name: str) -> None:
@@ -47,10 +60,40 @@ def copy_file(source: str, folder: str, name: str) -> None:
     to_fs.move(beside, f"{to_path.rstrip('/')}/{name}")
 
 
+def copy_by_spark(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Copy files by Spark's reader and writer, for stores that only Hadoop knows.
+
+    The text writer ends a row with a separator of one's own choice: that is the file's own last byte, behind the others as its row.
+    """
+    files = Files(spark)
+    staging = f"{folder.rstrip('/')}/.copies-{uuid.uuid4().hex}"
+    number = {p: i for i, p in enumerate(paths)}  # one round's
+    numbers = spark.createDataFrame(list(number.items()), "path string, i int")
+    read = spark.read.format("binaryFile").load(paths).join(F.broadcast(numbers), "path")
+    last: Column = F.conv(F.hex(F.expr("substring(content, -1, 1)")), 16, 10).cast("int")
+    try:
+        for byte in sorted(r[0] for r in read.select(last.alias("b")).distinct().collect()):
+            rows = read.filter(last == byte).select("i", F.expr("CAST(substring(content, 1, length - 1) AS STRING)").alias("value"))
+            rows.write.partitionBy("i").mode("append").option("encoding", "ISO-8859-1").option("lineSep", chr(byte)).text(staging)
+        for path, i in number.items():
+            (part,) = (p for p, _ in files.list(f"{staging}/i={i}"))
+            to = f"{folder.rstrip('/')}/{path.rpartition('/')[2]}"
+            files.delete(to)
+            files.rename(part, to)
+    finally:
+        files.delete(staging)
+
+
 class DeliveryError(RuntimeError):
     """Some copies of a round failed; the others are in the ledger."""
 
 
+def _stores(listed: DataFrame) -> list[str]:
+    """A path of each store that the manifest's files are in."""
+    store = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?", 0)
+    return [r["p"] for r in listed.groupBy(store.alias("s")).agg(F.min("path").alias("p")).collect()]
+
+
 def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_files: int = ROUND) -> int:
     """Copy the pending files of a manifest; returns how many."""
     spark = listed.sparkSession
@@ -58,6 +101,11 @@ def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_f
     twice = listed.groupBy("file_name").agg(F.countDistinct("path").alias("n")).filter("n > 1").first()
     if twice:
         raise ValueError(f"{twice['n']} files are named {twice['file_name']}")
+    if files.exists(ledger):
+        known = _delivered(spark, ledger).select("file_name", F.col("path").alias("before"))
+        other = listed.join(known, "file_name").filter(F.col("path") != F.col("before")).first()
+        if other:
+            raise ValueError(f"{other['file_name']} was delivered from {other['before']} before")
     files.mkdirs(folder)
     folder = files.qualified(folder)  # executors must not take it for a path of their own
 
@@ -79,6 +127,12 @@ def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_f
         rounds = -(-todo.count() // round_files)
         for r in range(rounds):
             mine = todo.filter(F.pmod(F.xxhash64("path"), F.lit(rounds)) == r)
+            if copy is copy_file and not (arrow_knows(folder) and all(arrow_knows(p) for p in _stores(mine))):
+                paths = [p for (p,) in mine.select("path").collect()]
+                copy_by_spark(spark, paths, folder)
+                mine.withColumn("error", F.lit(None).cast("string")).write.mode("append").parquet(ledger)
+                delivered += len(paths)
+                continue
             seen = Observation()
             done = mine.repartition("path").mapInPandas(run, LEDGER).observe(seen, F.count_if(F.col("error").isNull()).alias("fine"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.min("error").alias("error"))
             done.write.mode("append").parquet(ledger)

@@ -1,13 +1,14 @@
-"""File sinks: JSON lines, Parquet in one file or in chunks of a capped size, and none at all (a count)."""
+"""File sinks: JSON lines, Parquet in parts, in chunks of a capped size or in one file, and none at all (a count)."""
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import Files, arrow_at
+from ..storage import Files, arrow_at, arrow_knows
 
 #: The codec names of file names, and Spark's names for them.
 CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
@@ -20,8 +21,10 @@ GROUP_PART, GROUP_BYTES = 8, 64 << 20
 FOOTER, ENTRY = 2048, 160
 #: Text columns with longer values get no least and greatest values.
 LONG_VALUE = 256
-#: Chunks that are shown early are numbered by task + 1, and this much more for each later one of the task.
-TASKS = 1_000_000
+#: What a chunk's writer says of it.
+CHUNK = "name string, rows long, bytes long"
+#: Renames at one time.
+PUBLISHERS = 32
 _UNITS = {"": 1024, "b": 1, "kb": 1000, "mb": 1000**2, "gb": 1000**3, "kib": 1024, "mib": 1024**2, "gib": 1024**3}
 
 
@@ -63,12 +66,12 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return seen.get["rows"]
 
 
-def _rolling(folder: str, prefix: str, compression: str, cap: int, stop: str):
+def _rolling(folder: str, prefix: str, compression: str, cap: int):
     """A function for mapInArrow that writes Parquet chunks near cap into folder and yields (name, rows, bytes) of each.
 
     The size is that of the bytes written: a chunk is closed before a row group that might take it over
-    the cap, counted as it lies in memory. It shows under its name only once it is whole, and not
-once there is a file named stop: tasks of a failed job may still run for a while.
+    the cap, counted as it lies in memory. Names hold the attempt, so that no two attempts of a task write one file,
+    and an attempt that fails or is ended takes its chunks back. What counts is what Spark keeps of the rows that are yielded.
     """
     most = max(1, min(cap // GROUP_PART, GROUP_BYTES))
 
@@ -90,24 +93,22 @@ once there is a file named stop: tasks of a failed job may still run for a while
             return {f.name: pc.max(pc.binary_length(table[f.name])).as_py() or 0 for f in table.schema if any(k(f.type) for k in kinds)}
 
         store, root = arrow_at(folder)
-        task, made = TaskContext.get().partitionId(), 0
+        own, made = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", []
         sink = writer = hidden = None
         rows = footer = 0
         measured: set[str] = set()
         held, size = [], 0
 
         def close():
-            nonlocal sink, writer, made, rows, footer
+            nonlocal sink, writer, rows, footer
             writer.close()
             length = sink.tell()
             sink.close()
-            name = file_name(prefix, compression, task + 1 + made * TASKS)
+            name = f"{prefix}.{own}-{len(made):06d}.{compression}.parquet"
             store.move(hidden, f"{root}/{name}")
-            if store.get_file_info(f"{root}/{stop}").is_file:  # looked for behind the move: the driver makes it before it lists the chunks
-                store.delete_file(f"{root}/{name}")
-                raise RuntimeError("the write has failed elsewhere")
+            made.append(name)
             out = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows]), pa.array([length])], names=["name", "rows", "bytes"])
-            sink, writer, made, rows, footer = None, None, made + 1, 0, 0
+            sink, writer, rows, footer = None, None, 0, 0
             return out
 
         def flush():
@@ -137,23 +138,26 @@ once there is a file named stop: tasks of a failed job may still run for a while
                 yield from flush()
             if writer:
                 yield close()
-        finally:
+        except BaseException:
             if sink is not None:
                 sink.close()
                 store.delete_file(hidden)
+            for name in made:
+                store.delete_file(f"{root}/{name}")
+            raise
 
     return run
 
 
-def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "snappy", max_file_size: str | None = None, early: bool = False) -> tuple[int, list[str]]:
-    """Write df under its own names into an existing folder; returns the rows and the files.
+def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "snappy", max_file_size: str | None = None, early: bool = False, single: bool = False) -> tuple[int, list[str]]:
+    """Write df under its own names into an existing folder; returns the rows and the files. No rows: no file.
 
-    Without a size it is one file, written by one task; with a size, tasks roll over to a new chunk
-    by the bytes that they have written, so that no chunk is over the cap but one of a single row. Chunks
-    are numbered from 1 and show once the whole write has succeeded; a failed write leaves nothing behind.
-    early: each chunk shows as soon as it is whole, while later ones fill, for a reader that follows the folder; numbers
-    then go by task and have gaps, a task that runs again replaces its own chunks, and a failed write takes back
-    those that it showed (what is left is a hidden empty file, at which tasks that still run stop). No rows: no file. Arrow must know the store of the folder.
+    Every partition makes a part, numbered from 1; with a size, tasks roll over to a new chunk by the bytes that they have
+    written, so that none is over the cap but one of a single row; single: one file without a number, written by one task, for small tables.
+    Files show once the whole write has succeeded; a failed write leaves nothing behind, and files of an earlier write of this prefix are replaced by number only.
+    early (with a size): a chunk counts from its task's commit on, while other tasks run, for a reader that follows handed_over(). Names
+    then hold task and attempt. A task that is tried again, or run twice, counts once, as its commit is Spark's; chunks that don't count are
+    deleted at the end, and a failed write takes back all. On a store that Arrow does not know, Spark writes the chunks, and early ones count at the end.
     """
     files = Files(df.sparkSession)
     if not prefix:
@@ -164,53 +168,118 @@ def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "s
         raise FileNotFoundError(folder)
     folder = files.qualified(folder).rstrip("/")
     if max_file_size is not None:
+        if single:
+            raise ValueError("one file, or chunks of a size")
         return _write_chunks(df, files, folder, prefix, compression, chunk_size(max_file_size), early)
+    if early:
+        raise ValueError("early chunks need a size")
     staging = f"{folder}/_staging-{uuid.uuid4().hex}"
     out, seen = counted(df)
     try:
-        out.coalesce(1).write.option("compression", CODECS[compression]).parquet(staging)
+        (out.coalesce(1) if single else out).write.option("compression", CODECS[compression]).parquet(staging)
         rows = seen.get["rows"]
-        return rows, _publish(files, [p for p, _ in files.list(staging)] if rows else [], folder, lambda i: file_name(prefix, compression))
+        parts = [p for p, _ in files.list(staging)] if rows else []  # tasks without rows make no part, but the first
+        return rows, _publish(files, parts, folder, lambda i: file_name(prefix, compression, None if single else i + 1))
     finally:
         files.delete(staging)
 
 
 def _publish(files: Files, paths: list[str], folder: str, name) -> list[str]:
-    """Rename paths into folder; on a failure those that have arrived are taken back."""
+    """Rename paths into folder, PUBLISHERS at a time; on a failure those that have arrived are taken back."""
     made: list[str] = []
-    try:
-        for i, path in enumerate(paths):
-            to = f"{folder}/{name(i)}"
-            if files.exists(to):
-                files.delete(to)
-            files.rename(path, to)
-            made.append(to)
-        return made
-    except Exception:
+
+    def move(i: int) -> str:
+        to = f"{folder}/{name(i)}"
+        files.delete(to)
+        files.rename(paths[i], to)
+        made.append(to)
+        return to
+
+    with ThreadPoolExecutor(PUBLISHERS) as pool:
+        moves = [pool.submit(move, i) for i in range(len(paths))]
+    failed = next((e for m in moves if (e := m.exception())), None)
+    if failed:
         for to in made:
             files.delete(to)
-        raise
+        raise failed
+    return [m.result() for m in moves]
+
+
+def lists_of(folder: str) -> str:
+    """The folder with the lists of a folder's early chunks: a sub-folder for each write, into which every finished task commits its own."""
+    return f"{folder.rstrip('/')}/_handover"
+
+
+def handed_over(spark: SparkSession, folder: str) -> DataFrame:
+    """name, rows, bytes of the early chunks in folder that count so far."""
+    at = lists_of(folder)
+    return spark.read.schema(CHUNK).json(at) if Files(spark).exists(at) else spark.createDataFrame([], CHUNK)
 
 
 def _write_chunks(df: DataFrame, files: Files, folder: str, prefix: str, compression: str, cap: int, early: bool) -> tuple[int, list[str]]:
     target = folder if early else f"{folder}/_staging-{uuid.uuid4().hex}"
     files.mkdirs(target)
-    stop = f".stop-{uuid.uuid4().hex}"
-    shown = re.compile(re.escape(prefix) + r"\.[0-9]{8,}\." + compression + r"\.parquet")
-    before = {p for p, _ in files.list(folder)}
+    if not arrow_knows(target):
+        try:
+            rows, paths = _spark_chunks(df, files, f"{folder}/_staging-{uuid.uuid4().hex}", compression, cap)
+            made = _publish(files, paths, folder, lambda i: file_name(prefix, compression, i + 1))
+            if early:
+                _hand_over(df.sparkSession, made, f"{lists_of(folder)}/run={uuid.uuid4().hex}")
+            return rows, made
+        finally:
+            if not early:
+                files.delete(target)
+    run = uuid.uuid4().hex[:12]
+    chunks = df.mapInArrow(_rolling(target, f"{prefix}.{run}" if early else prefix, compression, cap), CHUNK)
+    if not early:
+        try:
+            found = chunks.collect()  # of each task the attempt that Spark counts; a row per chunk
+            paths = sorted(f"{target}/{r['name']}" for r in found)
+            return sum(r["rows"] for r in found), _publish(files, paths, folder, lambda i: file_name(prefix, compression, i + 1))
+        finally:
+            files.delete(target)
+    lists = f"{lists_of(folder)}/run={run}"
+    counts: set[str] = set()
     try:
-        made = df.mapInArrow(_rolling(target, prefix, compression, cap, stop), "name string, rows long, bytes long").collect()
-        paths = sorted(f"{target}/{r['name']}" for r in made)
-        if not early:
-            paths = _publish(files, paths, folder, lambda i: file_name(prefix, compression, i + 1))
-        return sum(r["rows"] for r in made), paths
+        # version 2: a task's list shows when the driver has let that attempt commit, not when all tasks are done
+        chunks.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(lists)
+        found = df.sparkSession.read.schema(CHUNK).json(lists).collect()
+        counts = {r["name"] for r in found}
+        return sum(r["rows"] for r in found), [f"{folder}/{name}" for name in sorted(counts)]
     except Exception:
-        if early:
-            files.write_text(f"{folder}/{stop}", "")
-        for path in {p for p, _ in files.list(folder)} - before if early else ():
-            if shown.fullmatch(path.rpartition("/")[2]):
-                files.delete(path)
+        files.delete(lists)
         raise
     finally:
-        if not early:
-            files.delete(target)
+        for path, _ in files.list(folder):
+            name = path.rpartition("/")[2]
+            if name.startswith(f"{prefix}.{run}.") and name not in counts:
+                files.delete(path)
+
+
+def _hand_over(spark: SparkSession, paths: list[str], lists: str) -> None:
+    """List finished chunks, for a store on which they all count at once."""
+    listed = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.lit(None).cast("long").alias("rows"), F.col("length").alias("bytes")) if paths else spark.createDataFrame([], CHUNK)
+    listed.coalesce(1).write.json(lists)
+
+
+def _spark_chunks(df: DataFrame, files: Files, staging: str, compression: str, cap: int) -> tuple[int, list[str]]:
+    """Parquet files within cap, by Spark's writer: those over it are read and cut again, until all fit or hold one row."""
+    out, seen = counted(df)
+    spark, schema, done, turn = df.sparkSession, df.schema, [], 0
+    write = lambda rows, most: rows.write.option("compression", CODECS[compression]).option("maxRecordsPerFile", most).parquet(f"{staging}/{turn}")
+    write(out, 0)
+    total = seen.get["rows"]
+    while True:
+        listed = files.list(f"{staging}/{turn}")
+        over = {p: n for p, n in listed if n > cap}
+        rows_of = {}
+        if over:
+            read = spark.read.schema(schema).parquet(*over)
+            rows_of = dict(read.groupBy(F.col("_metadata.file_name")).count().collect())  # a row per file over the cap
+        again = {p: n for p, n in over.items() if rows_of.get(p.rpartition("/")[2], 0) > 1}
+        done += [p for p, _ in listed if p not in again]
+        if not again:
+            return total, done if total else []
+        most = min(max(1, int(rows_of[p.rpartition("/")[2]] * cap / n * 0.8)) for p, n in again.items())
+        turn += 1
+        write(spark.read.schema(schema).parquet(*again), most)

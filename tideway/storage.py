@@ -118,10 +118,19 @@ def arrow_at(path: str):
     """(pyarrow's file system, path in it) of a qualified path."""
     from pyarrow import fs
 
-    if "://" not in path:
-        path = path.removeprefix("file:")
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", path)
+    if scheme and scheme[1] != "file":
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), re.sub(r"^file:(//)?", "", path)
+
+
+def arrow_knows(path: str) -> bool:
+    """Whether pyarrow can open the store of a qualified path here. Spark's own names, such as s3a or wasbs, are not among its schemes."""
+    try:
+        arrow_at(path)
+        return True
+    except (ValueError, OSError, ImportError):  # no such scheme, no native library of the store, or not built in
+        return False
 
 
 class Versions:

@@ -1,11 +1,12 @@
 """Structured Streaming over a staging folder: finished files are merged or delivered while later ones are written."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.deliver import deliver
+from ..operators.deliver import deliver, listed
 from ..operators.load import FileTable
+from ..sinks.files import CHUNK, lists_of
+from ..storage import Files
 
 
 def merge_stream(spark: SparkSession, staging: str, schema: T.StructType, table: FileTable, keys: list[str], checkpoint: str, **how) -> None:
@@ -18,11 +19,20 @@ def merge_stream(spark: SparkSession, staging: str, schema: T.StructType, table:
     stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def deliver_stream(spark: SparkSession, staging: str, folder: str, ledger: str, checkpoint: str) -> None:
-    """Deliver all staged files that are new since the last call."""
+def deliver_stream(spark: SparkSession, staging: str, folder: str, ledger: str, checkpoint: str, early: bool = False) -> None:
+    """Deliver all staged files that are new since the last call. early: of a folder of early chunks, those whose tasks have committed by now."""
 
     def one(batch: DataFrame, _: int) -> None:
-        deliver(batch.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"), folder, ledger)
-
-    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet").load(staging).select("path", "length")
+        if early:
+            at = [f"{staging.rstrip('/')}/{r['name']}" for r in batch.select("name").collect()]  # the names of one batch
+            if not at:
+                return
+            batch = listed(spark.read.format("binaryFile").load(at))
+        deliver(batch, folder, ledger)
+
+    if early:
+        Files(spark).mkdirs(lists_of(staging))
+        stream = spark.readStream.schema(CHUNK).json(lists_of(staging))
+    else:
+        stream = listed(spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet").load(staging))
     stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
