@@ -10,8 +10,9 @@
    other underfull bins (move a piece; one for one; two for one; one for two) the one that adds
    most to the sum of squared fills is made, until the source is empty or none adds anything.
    The sum grows with every exchange, so the search ends.
-3. The emptiest bins of each block (an eighth of them at most) are dealt anew among fewer
-   blocks, and so on down to one block; every round takes a small part of the one before.
+3. What still leaves room is dealt anew among fewer blocks, and so on down to one: of each block
+   the emptiest bin, and bins with more than a sixteenth free, up to an eighth of its bins, so that
+   every round takes a small part of the one before.
 
 A sequence's id is the least row number of its pieces, so blocks need not agree on numbers.
 
@@ -25,6 +26,7 @@ import os
 import re
 import zlib
 from itertools import chain
+from struct import pack as packed
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,8 @@ TEXT_BYTES = 1 << 20
 #: Words that a worker keeps; then it starts anew. Longer ones than WORD_BYTES are not kept.
 WORDS = 3 << 18
 WORD_BYTES = 64
-#: Letters of ASCII and Latin-1, as UTF-8: no marks among them that join the letter before.
-PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-
-
+#: Small letters of ASCII and letters of Latin-1, as UTF-8: normalization changes none but their case, and they are one stretch for the tokenizer.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 #: Where the tokenizer always cuts: its special tokens have no such place, and no mark after it joins the letter.
 CUT = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
 #: Characters beyond Latin-1: marks that join the letter before may be among them.
@@ -59,45 +59,41 @@ def words(text: bytes) -> list[bytes]:
     return CUT.sub(b" ", text).split()
 
 
-class WordIds(dict):
+class WordIds:
     """Words as bytes, each with its token ids as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a stretch
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.tokenizer = t = Tokenizer.from_file(path)
+        stretch = lambda c: "".join(x for x, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(c)))
+        self.letters = {c: stretch(chr(c)) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}  # what the model gets for them
 
     def _learn(self, words: set[bytes]) -> None:
-        """words' ids; plain ones are letters alone, so each is one stretch for the tokenizer, and many in one text part again at their ends."""
-        plain = [w for w in words if PLAIN.fullmatch(w)]
-        lines = [plain[a : a + 64] for a in range(0, len(plain), 64)]
-        for some, e in zip(lines, self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            cut = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            raw = ids.tobytes()
-            for word, x, y in zip(some, cut[:-1], cut[1:], strict=True):
-                self[word] = raw[4 * x : 4 * y]
-        rest = [w for w in words if not PLAIN.fullmatch(w)]
+        """Plain words go to the tokenizer's model at once; others through its normalization and splits first."""
+        tokenize, known, rest = self.tokenizer.model.tokenize, self.known, []
+        for w in words:
+            if PLAIN(w):
+                known[w] = packed(f"<{len(found := tokenize(w.decode() if w.isascii() else w.decode().translate(self.letters)))}I", *(t.id for t in found))
+            else:
+                rest.append(w)
         for a in range(0, len(rest), 4096):
             some = rest[a : a + 4096]
-            for word, e in zip(some, self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, "<u4").tobytes()
+            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                known[word] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
-        if len(self) > WORDS:
-            self.clear()
+        if len(self.known) > WORDS:
+            self.known.clear()
         split = [words(t) for t in texts]
-        new = {w for w in set(chain.from_iterable(split)) if w not in self}
+        new = set(chain.from_iterable(split)).difference(self.known)
         self._learn(new)
-        out = [b"".join(map(self.__getitem__, found)) for found in split]
+        out = [b"".join(map(self.known.__getitem__, found)) for found in split]
         for w in new:
             if len(w) > WORD_BYTES:
-                del self[w]
+                del self.known[w]
         return out
 
 
@@ -281,11 +277,13 @@ def _round(items: DataFrame, n: int, turn: int, capacity: int) -> DataFrame:
         fill = np.add.reduceat(size, first)
         emptiest = np.argsort(fill, kind="stable")[: -(-len(fill) // 8)]
         open_ = np.zeros(len(fill), bool)
-        open_[emptiest] = fill[emptiest] < capacity
+        open_[emptiest] = 16 * (capacity - fill[emptiest]) > capacity
+        open_[emptiest[:1]] = fill[emptiest[:1]] < capacity
         return pa.table({"item": item, "length": size, "sequence_id": np.repeat(item[first], count), "offset": place - np.repeat(place[first], count), "open": np.repeat(open_, count)})
 
     dealt = items.select("item", "length", F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(n)).alias("block"))
-    return dealt.groupBy("block").applyInArrow(run, "item long, length long, sequence_id long, offset long, open boolean")
+    # a partition a block or so, however few bytes they have: the search takes time, not room
+    return dealt.repartition(n, "block").groupBy("block").applyInArrow(run, "item long, length long, sequence_id long, offset long, open boolean")
 
 
 def place(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
