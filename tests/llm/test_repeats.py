@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -71,3 +72,46 @@ def test_maximal_repeats_have_all_occurrences():
 
 def test_intervals():
     assert sorted(repeats.intervals(np.array([3, 5, 5, 1, 4, 0]), 2)) == [(3, 0, 4), (4, 4, 6), (5, 1, 4)]
+
+
+def thue_morse(a, b, n):
+    word = [a]
+    while len(word) < n:
+        word += [b if c == a else a for c in word]
+    return bytes(word[:n])
+
+
+def test_structured_texts_without_a_common_window(spark):
+    """Two texts of 128-letter Thue-Morse blocks around one gram, with the letters swapped in the other: no 200 bytes are equal."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        gram = bytes(rng.randrange(33, 127) for _ in range(50))
+        a, b = rng.sample(range(33, 127), 2)
+        for one, two in ((a, b), (b, a)):
+            rows.append((len(rows), (thue_morse(one, two, 150) + gram + thue_morse(two, one, 150)).decode()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.remove(df).collect()}
+    assert got == brute(rows)
+
+
+def test_hashes_tell_structured_stretches_apart():
+    """A polynomial of single bytes modulo 2**64 gives the swapped Thue-Morse word the same hash for half of all letter pairs or more."""
+    seen = set()
+    for a in range(33, 53):
+        for b in range(a + 1, 53):
+            data = np.frombuffer(thue_morse(a, b, 2048) + thue_morse(b, a, 2048), np.uint8)
+            at = np.arange(0, 4096, 128)
+            h = repeats.Hasher(data).of(at, at + 128)
+            first = {data[i : i + 128].tobytes(): int(x) for i, x in zip(at, h, strict=True)}
+            assert len(set(first.values())) == len(first) == 2 and not seen & set(first.values())
+            seen |= set(first.values())
+
+
+def test_equal_stretches_have_equal_hashes():
+    rng = np.random.default_rng(0)
+    data = rng.integers(0, 256, 3000).astype(np.uint8)
+    two = np.concatenate([rng.integers(0, 256, 77).astype(np.uint8), data, rng.integers(0, 256, 9).astype(np.uint8)])
+    at = np.arange(0, 2700, 7)
+    for n in (8, 50, 200, 275):
+        assert (repeats.Hasher(data).of(at, at + n) == repeats.Hasher(two).of(at + 77, at + 77 + n)).all()

@@ -24,7 +24,7 @@ other columns are left alone, whatever their names.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import fresh, materialize, own_columns, quoted
+from .store import fresh, materialize, own_columns, quoted, scope
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
@@ -171,12 +171,11 @@ def judged(counted: DataFrame, lang_col: str, source_col: str, out: str = "q_")
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per row of docs: its counts, base_failed and kept."""
     narrow = docs.select(*(F.col(quoted(c)).alias(n) for c, n in ((id_col, "doc_id"), (text_col, "text"), (lang_col, "lang"), (source_col, "source"))))
-    counted = materialize(with_counts(narrow).drop("text"))
     q = lambda x: F.col("q_" + x)
-    return judged(counted, "lang", "source").select(
-        "doc_id", q("n_words").alias("n_words"), q("n_chars").alias("word_chars"), q("n_symbols").alias("n_symbols"), q("n_dup_lines").alias("n_dup_lines"),
-        q("n_repeat_words").alias("n_repeat_words"), q("base_failed").alias("base_failed"), q("kept").alias("kept"),
-    )
+    with scope(docs.sparkSession):
+        counted = materialize(with_counts(narrow).drop("text"))
+        columns = [q("n_words").alias("n_words"), q("n_chars").alias("word_chars"), *(q(c).alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))]
+        return materialize(judged(counted, "lang", "source").select("doc_id", *columns), keep=True)
 
 
 def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

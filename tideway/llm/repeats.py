@@ -16,7 +16,7 @@ windows on average) only repeat under the same gram.
 3. A bucket of more than LIMIT classes is not gathered. Its segments are cut into blocks of
    BLOCK windows, and buckets made by the bytes that all windows of a block share; blocks equal
    as a whole are one class again. What is still over LIMIT is decided window by window, by
-   counting hashes. Nothing is dropped, and no bucket's size follows a hot string.
+   counting digests. Nothing is dropped, and no bucket's size follows a hot string.
 
 Per text, covered bytes are joined back by (id, hash of the text); texts without any take no
 part in the join (a filter of FLAGS flags, so bounded, lets the others through).
@@ -28,6 +28,7 @@ pieces; an empty table gives an empty result.
 """
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import bound_batches, materialize, quoted, scope
-from .textbytes import _BASE, _BASE_INV, BLOCK_BYTES, BYTE_CODES, blocks, mix, powers, text_buffer
+from .textbytes import _BASE, _BASE_INV, BLOCK_BYTES, blocks, mix, powers, releasing, text_buffer
 
 SPAN = 200
 GRAM = 50
@@ -48,15 +49,31 @@ _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Hasher:
-    """Hashes of any stretches of a piece of text."""
+    """Hashes of any stretches of a piece of text, of eight bytes or more.
+
+    Each place counts by a mix of the eight bytes from it on, in a polynomial of the places that lie in the stretch
+    with all eight. Bytes alone in the polynomial would collide by structure, such as Thue-Morse words. These hashes choose
+    grams and buckets; what is taken to be equal has equal digests.
+    """
 
     def __init__(self, data: np.ndarray):
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[: len(data)] = data
+        eight = np.ndarray((len(data),), "<u8", padded, 0, (1,))
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_CODES[data] * powers(_BASE, len(data)), out=self.total[1:])
+        np.cumsum(mix(eight + _BASE) * powers(_BASE, len(data)), out=self.total[1:])
         self.inverse = powers(_BASE_INV, len(data) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.total[end] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64) * _SALT)
+        return mix((self.total[end - 7] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64) * _SALT)
+
+
+def digests(text: bytes, start: list[int], end: list[int], extra: list[int]) -> np.ndarray:
+    """Digests of stretches of text, each with a number of its own. A class is known by its gram and a digest, which is 64 bits of BLAKE2b."""
+    digest, number = hashlib.blake2b, struct.Struct("<q").pack
+    view = memoryview(text)
+    out = b"".join([digest(view[a:b], digest_size=8, salt=number(x)).digest() for a, b, x in zip(start, end, extra, strict=True)])
+    return np.frombuffer(out, "<u8")
 
 
 def _window_min(key: np.ndarray, width: int) -> np.ndarray:
@@ -98,7 +115,7 @@ def segments(data: np.ndarray, cuts: np.ndarray):
     first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (window[1:] != window[:-1] + 1)])
     lo, hi = window[first], window[np.r_[first[1:], len(window)] - 1]
     j = owner[first]
-    whole = mix(hasher.of(lo, hi + SPAN) + (j - lo).astype(np.uint64) * _SALT)
+    whole = digests(data.tobytes(), lo.tolist(), (hi + SPAN).tolist(), (j - lo).tolist())
     return gram[j], whole, j, j - lo, j - hi
 
 
@@ -257,7 +274,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
                 hasher = Hasher(np.frombuffer(text, np.uint8))
                 inner = hasher.of(before - b * BLOCK, before - b * BLOCK - BLOCK + 1 + SPAN)
                 keys.append(mix(inner ^ mix(b.astype(np.uint64) + np.uint64(gram % (1 << 64)))))
-                whole.append(mix(hasher.of(off, end) + far.astype(np.uint64)))
+                whole.append(digests(text, off.tolist(), end.tolist(), far.tolist()))
                 rows += [(gram, seg, int(x), text[x:y]) for x, y in zip(off, end, strict=True)]
             as_long = lambda x: pa.array((np.concatenate(x) if x else np.zeros(0, np.uint64)).view(np.int64))
             columns = zip(*rows, strict=True) if rows else ((),) * 4
@@ -273,8 +290,9 @@ def _windows(blocks_: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for gram, seg, off, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.arange(len(text) - SPAN + 1)
-                out += [(w, gram, seg, off, int(i)) for w, i in zip(Hasher(np.frombuffer(text, np.uint8)).of(at, at + SPAN).view(np.int64).tolist(), at, strict=True)]
+                at = range(len(text) - SPAN + 1)
+                found = digests(text, list(at), [i + SPAN for i in at], [0] * len(at)).view(np.int64).tolist()
+                out += [(w, gram, seg, off, i) for w, i in zip(found, at, strict=True)]
             columns = zip(*out, strict=True) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["w", "gram", "seg", "off", "lo"])
 
@@ -295,8 +313,8 @@ def _search_hot(texts: DataFrame) -> DataFrame:
     first = classes.filter("m > 1").select("key", "m", "r.*")
     one = materialize(cut.select("gram", "seg", "off", "bytes").join(first, ["gram", "seg", "off"]).select("key", "m", "gram", "seg", "off", "bytes"))
     single = _windows(one.filter(F.col("m") > LIMIT))
-    twice = materialize(single.groupBy("w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w"))
-    single = single.join(twice, "w").select("gram", "seg", "off", "lo", (F.col("lo") + 1).alias("hi"))
+    twice = materialize(single.groupBy("gram", "w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram", "w"))
+    single = single.join(twice, ["gram", "w"]).select("gram", "seg", "off", "lo", (F.col("lo") + 1).alias("hi"))
     return whole.union(_search(one.filter(F.col("m") <= LIMIT))).union(single)
 
 
@@ -348,7 +366,13 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     narrow = keyed.select("kid", "th", "text")
     bound_batches(docs.sparkSession)
     with scope(docs.sparkSession):
-        found = materialize(spans(narrow), keep=True)
+        with scope(docs.sparkSession):
+            found = materialize(spans(narrow), keep=True)
+        return materialize(_cut(keyed, narrow, found, id_col), keep=True)
+
+
+def _cut(keyed: DataFrame, narrow: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """The rows of keyed (id, kid, th, text) after the stretches found (kid, th, start, end) are cut."""
     merged = found.groupBy("kid", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))  # of one text
 
     def run(batches):

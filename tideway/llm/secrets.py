@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted
+from .store import bound_batches, fresh, materialize, numbered, own_columns, quoted, scope
 from .textbytes import releasing
 
 SHARED = 3
@@ -103,7 +103,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     """One row per row of docs: counts by kind, digest of the base spans, all spans, n_live and n_shared."""
     named = ((id_col, "doc_id"), (text_col, "text"), (repo_col, "repo"), (owner_col or repo_col, "owner"))
     narrow = docs.select(*(F.col(quoted(c)).alias(n) for c, n in named), F.monotonically_increasing_id().alias("row"))
-    found = materialize(with_spans(narrow, "text", ["row", "doc_id", "repo", "owner"], "spans"))
+    with scope(docs.sparkSession):
+        found = materialize(with_spans(narrow, "text", ["row", "doc_id", "repo", "owner"], "spans"))
+        return materialize(_scanned(found), keep=True)
+
+
+def _scanned(found: DataFrame) -> DataFrame:
     verdicts = _verdicts(found, "repo", "owner", "row", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
