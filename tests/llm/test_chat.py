@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 
 import pytest
@@ -73,7 +74,7 @@ def test_ties_and_one_hot_key(spark, monkeypatch):
     for conv, mine in ((None, [r for r in rows if r[0] is None]), (7, [r for r in rows if r[0] == 7])):
         part = [r for r in got if r["conv_id"] == conv]
         assert [r["block"] for r in part] == list(range(len(part))) and sum(r["n_turns"] for r in part) == len(mine)
-        roles = [r[2] for r in sorted(mine, key=lambda r: (r[2] is not None, r[2] or "", r[3] or ""))]
+        roles = [r[2] for r in sorted(mine, key=lambda r: (r[2] is not None, r[2] or "", hashlib.md5((r[3] or "").encode()).hexdigest()))]
         m = chat.matrix(roles)
         leave = chat._exit(m)
         paid = m[chat.START, leave] + (0 if leave in chat.FINAL else chat.price(chat.INSERT, "insert"))
@@ -85,3 +86,17 @@ def test_render_and_empty(spark):
     r = chat.repair(df).first()
     assert r["rendered"] == "<|user|>\na\nb<|end|>\n<|assistant|>\nc<|end|>\n" and r["cost"] == 1
     assert chat.repair(df.limit(0)).count() == 0
+
+
+def test_sort_keys_hold_no_texts(spark, monkeypatch):
+    """Equal turns with long texts: the frame that is range-partitioned is ordered by short keys."""
+    rows = [("c", 1, "user", f"<{i}>" * 20_000) for i in range(30)]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    seen = []
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *by, f=type(df).repartitionByRange: seen.append((by, self.select(F.max(F.length("d")), F.max(F.length("role"))).first())) or f(self, *by))
+    got = chat.repair(df).collect()
+    (by, longest), = seen
+    assert by == ("k", "turn", "role", "d", "r") and tuple(longest) == (32, 4)
+    order = sorted((r[3] for r in rows), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    body = "".join(r["rendered"] for r in sorted(got, key=lambda r: r["block"]))
+    assert [body.index(t) for t in order] == sorted(body.index(t) for t in order)

@@ -111,3 +111,32 @@ def test_many_languages_are_an_error(spark, monkeypatch):
     with pytest.raises(ValueError):
         langid.sample(df, "doc_id", "text", "lang")
     assert len({v for _, v in langid.sample(df.filter(F.col("lang") != "l3"), "doc_id", "text", "lang")}) == 3
+
+
+def test_odd_column_names(spark):
+    rows = [(i, f"{'la le li' if i % 2 else 'sch ung ver'} word{i} text", "a" if i % 2 else "b", "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "`i.d` long, `t.x` string, `l.g` string, text string")
+    got = langid.predict(df, F.lit(True), "i.d", "t.x", "l.g").collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in got} == {(r[0], r[2]) for r in rows}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "`i.d` long, `to.xic` int")
+    assert toxicity.score(df, labels, F.lit(True), "i.d", "t.x", "l.g", "to.xic").count() == 60
+
+
+def test_features_made_anew_train_the_same_model(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice(list(b"abcdef " if i % 3 else b"uvwxyz "), 80).tolist()) for i in range(90)]
+    langs = [("p", "q", "r")[i % 3] for i in range(90)]
+    one = langid.fit(texts, langs)
+    monkeypatch.setattr(langid, "HELD_ROWS", 10)
+    monkeypatch.setattr(langid, "ROWS", 16)
+    two = langid.fit(texts, langs)
+    assert np.allclose(one.w, two.w, atol=1e-3) and np.allclose(one.weight, two.weight, atol=0.05)
+
+
+def test_a_sample_of_many_languages_is_small(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(langid, "LEAST_PER_LANG", 3)
+    monkeypatch.setattr(langid, "SAMPLE_TOTAL", 60_000)
+    df = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("é"), "id"), 400).alias("text"), F.concat(F.lit("l"), F.col("id") % 50).alias("lang"))
+    rows = langid.sample(df, "doc_id", "text", "lang")
+    assert {v for _, v in rows} == {f"l{i}" for i in range(50)} and len(rows) <= 150 and sum(len(t) for t, _ in rows) <= 60_000

@@ -159,3 +159,24 @@ def test_scratch_tables_go(spark, folder, monkeypatch, tmp_path):
     monkeypatch.setattr(storage, "shared_dir", lambda spark: str(tmp_path))
     out = corpus_pipeline.run(spark, folder[0])
     assert len(list(tmp_path.glob("table-*"))) == 1 and out.count() > 5
+
+
+def test_operators_run_in_threads_and_leave_nothing(spark, documents):
+    """Three calls at one time on one session, of operators that write and drop scratch tables; afterwards no table is left."""
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tideway.llm import decontam, jaccard, quality, repeats, secrets, store
+    from tideway.storage import shared_dir
+
+    docs = documents.filter("n_chars < 4000")
+    benchmark = docs.limit(4).selectExpr("cast(doc_id as string) AS item_id", "text")
+    calls = [lambda: jaccard.join(docs), lambda: decontam.query(docs, benchmark), lambda: repeats.remove(docs), lambda: secrets.scan(docs), lambda: quality.score(docs), lambda: jaccard.join(docs)]
+    alone = [sorted(map(str, c().collect())) for c in calls[:5]]
+    store.release()
+    before = set(os.listdir(shared_dir(spark)))
+    with ThreadPoolExecutor(3) as pool:
+        together = list(pool.map(lambda c: sorted(map(str, c().collect())), calls))
+    assert together == [*alone, alone[0]]
+    store.release()
+    assert {f for f in os.listdir(shared_dir(spark)) if f.startswith("table-")} <= before

@@ -7,13 +7,13 @@ that the sum of the costs is least; the repaired turns are then rendered with a
 
 The program's step is a matrix in the (min, +) algebra over the automaton's states, and such
 products can be cut anywhere. So the turns are sorted over all tasks by (conversation, turn,
-role, text), whatever their turn numbers are, and cut into blocks of at most BLOCK rows of one
+role, digest of the text), so that the sort's bounds hold no texts, and cut into blocks of at most BLOCK rows of one
 conversation. Blocks give their matrices, FAN neighbours are combined at a time until one is
 left per conversation, the best states at the cuts are handed back down, and every block
 retraces its own path. A conversation of any length, and rows that all share one key, are
 spread over tasks, and rendered in as many rows as there are blocks, to be joined in order.
 
-Defined results: turns are ordered by (turn, role, text), nulls first, and repeated rows are
+Defined results: turns are ordered by (turn, role, MD5 of the text), nulls first, and repeated rows are
 turns of their own; a null or unknown role always needs a relabel or merge, a null text is
 empty; negative and equal turn numbers are like others; a null conversation id is one
 conversation; an empty table gives an empty result; other columns are left alone. Of equal
@@ -175,8 +175,8 @@ def _exit(m: np.ndarray) -> int:
 def _numbered(keyed: DataFrame) -> DataFrame:
     """The rows (k, turn, role, text) in blocks of at most BLOCK, numbered in order over all conversations: k, b, at (place in the task's order), role, text."""
     # a written number parts equal rows, so that the sort can spread them too; any order of them gives the same result
-    rows = materialize(keyed.withColumn("r", F.monotonically_increasing_id()))
-    by = ["k", "turn", "role", "text", "r"]
+    rows = materialize(keyed.withColumns({"d": F.md5(F.col("text").cast("binary")), "r": F.monotonically_increasing_id()}))
+    by = ["k", "turn", "role", "d", "r"]
 
     def cut(batches):
         task, key, own, at = TaskContext.get().partitionId(), None, -1, 0

@@ -7,7 +7,8 @@ as its classifier was right in training; a small lead over the runner-up flags a
 
 Training takes a bounded sample: for each language at most SAMPLE_PER_LANG distinct rows, or with
 many languages an equal share of SAMPLE_ROWS (LEAST_PER_LANG at least), and of each text the
-first SAMPLE_BYTES bytes. Rows are chosen by a hash of id and text below a threshold for the
+first SAMPLE_BYTES bytes, or with many languages an equal share of SAMPLE_TOTAL bytes. Features of
+more than HELD_ROWS rows are made anew for each step, so that the driver holds the texts alone. Rows are chosen by a hash of id and text below a threshold for the
 language, so that no language is gathered in one task and none is left out. The model has a
 codeword and the sample a row count for each language, so more than MOST_LANGS languages are an
 error, not a cut. Prediction covers every whole text; the model is a table of FEATURES x bits numbers.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import bound_batches
+from .store import bound_batches, quoted
 from .textbytes import LOWER, blocks, byte_class, text_buffer
 
 FEATURES = 1 << 12
@@ -30,6 +31,9 @@ SAMPLE_PER_LANG = 400
 SAMPLE_ROWS = 20_000
 LEAST_PER_LANG = 20
 SAMPLE_BYTES = 20_000
+SAMPLE_TOTAL = 160_000_000
+#: Rows of the sample whose features (FEATURES numbers each) the driver holds.
+HELD_ROWS = 16_000
 EPOCHS = 60
 AMBIGUOUS = 0.25
 MOST_LANGS = 2000
@@ -101,36 +105,53 @@ def fit(texts: list[bytes], langs: list[str]) -> Model | None:
     names = sorted(set(langs))
     code = codewords(len(names))
     y = code[[names.index(v) for v in langs]]
-    x = np.concatenate([features(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts])
+    parts = [slice(a, a + ROWS) for a in range(0, len(texts), ROWS)]
+
+    def made(part: slice) -> np.ndarray:
+        return features(np.frombuffer(b"".join(texts[part]), np.uint8), np.cumsum([0, *map(len, texts[part])]))
+
+    if len(texts) <= HELD_ROWS:
+        held = np.empty((len(texts), FEATURES), np.float32)
+        for part in parts:
+            held[part] = made(part)
+        parts, made = [slice(0, len(texts))], held.__getitem__
     w, bias = np.zeros((FEATURES, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     step_w, step_b = np.zeros_like(w), np.zeros_like(bias)
     for _ in range(EPOCHS):
-        g = -y / (1 + np.exp(np.clip(y * (x @ w + bias), -30, 30))) / len(x)
-        step_w = 0.9 * step_w - 20 * (x.T @ g + 1e-6 * w)
-        step_b = 0.9 * step_b - 2 * g.sum(0)
+        sum_w, sum_b = np.zeros_like(w), np.zeros_like(bias)
+        for part in parts:
+            x = made(part)
+            g = -y[part] / (1 + np.exp(np.clip(y[part] * (x @ w + bias), -30, 30))) / len(texts)
+            sum_w += x.T @ g
+            sum_b += g.sum(0)
+        step_w = 0.9 * step_w - 20 * (sum_w + 1e-6 * w)
+        step_b = 0.9 * step_b - 2 * sum_b
         w, bias = w + step_w, bias + step_b
-    right = (np.sign(x @ w + bias) == y).mean(0)
+    right = sum((np.sign(made(part) @ w + bias) == y[part]).sum(0) for part in parts) / len(texts)
     weight = np.clip(2 * right - 1, 0.01, 1).astype(np.float32)
     return Model(names, code, w, bias, weight / weight.mean())
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
     """The bounded training sample, as rows (text, lang)."""
+    text_, lang_ = F.col(quoted(text_col)), F.col(quoted(lang_col))
     # more characters than this are more bytes too; the bytes are cut below
-    text = F.when(F.octet_length(text_col) > SAMPLE_BYTES, F.substring(text_col, 1, SAMPLE_BYTES)).otherwise(F.col(text_col))
-    use = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) > 0))
-    use = use.select(F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit("langid")).alias("row"))
+    text = F.when(F.octet_length(text_) > SAMPLE_BYTES, F.substring(text_, 1, SAMPLE_BYTES)).otherwise(text_)
+    use = docs.filter(lang_.isNotNull() & text_.isNotNull() & (F.octet_length(text_) > 0))
+    use = use.select(lang_.cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.col(quoted(id_col)).cast("string"), text_, F.lit("langid")).alias("row"))
     # one count per language: the model has a codeword for each of them anyway
     counts = use.groupBy("lang").agg(F.approx_count_distinct("row").alias("n")).limit(MOST_LANGS + 1).collect()
     if len(counts) > MOST_LANGS:
         raise ValueError(f"more than {MOST_LANGS} languages")
     share = min(SAMPLE_PER_LANG, max(SAMPLE_ROWS // max(len(counts), 1), LEAST_PER_LANG))
     # twice the share is drawn, so that the count of a language hardly falls short of it
-    most = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, 2 * share / max(r["n"], 1))))) for r in counts), F.lit(0))
-    drawn = use.withColumn("draw", F.pmod("row", F.lit(1 << 30))).filter(F.col("draw") < most).dropDuplicates(["lang", "draw", "row"])
+    most = docs.sparkSession.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, 2 * share / max(r["n"], 1)))) for r in counts], "lang string, most long")
+    drawn = use.withColumn("draw", F.pmod("row", F.lit(1 << 30))).join(F.broadcast(most), "lang").filter(F.col("draw") < F.col("most")).drop("most")
+    size = min(SAMPLE_BYTES, SAMPLE_TOTAL // (share * max(len(counts), 1)))
+    drawn = drawn.withColumn("text", F.substring("text", 1, size)).dropDuplicates(["lang", "draw", "row"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "row"))
     rows = drawn.withColumn("place", place).filter(F.col("place") <= share).orderBy("draw", "row", "lang").select("text", "lang").collect()
-    return [(r["text"].encode()[:SAMPLE_BYTES], r["lang"]) for r in rows]
+    return [(r["text"].encode()[:size], r["lang"]) for r in rows]
 
 
 def predict(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -139,7 +160,7 @@ def predict(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col:
     rows = sample(docs.filter(training), id_col, text_col, lang_col)
     model = fit([t for t, _ in rows], [v for _, v in rows])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.regexp_like(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"\p{L}")).alias("letters"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.regexp_like(F.coalesce(F.col(quoted(text_col)), F.lit("")), F.lit(r"\p{L}")).alias("letters"), F.col(quoted(text_col)).alias("text"))
 
     def run(batches):
         m = shared.value

@@ -26,7 +26,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
