@@ -49,9 +49,19 @@ def test_documents(documents, rows, tokenizer, capacity, block, monkeypatch):
 def test_words_give_the_ids_of_whole_texts(tokenizer):
     rng, own = random.Random(0), packing.WordIds(MODEL)
     parts = ["a", "B", "é", "É", "'s", "’", "<|startoftext|>", "<|endoftext|>", "<|", "|>", ".", ",", "!?", "́", "̸", " ", "\n", "\x1c", "\x85", "\xa0", "1", "²", "×", "日本", "🙂", "İ", "ẞ", "Σ", "ς", "-", "_", "\x00", "ﬁ", "가", "don't", "I'LL", "W̊", "x" * 80 + "."]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(4000)]
-    for text, found in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
-        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(4000)] + ["", "x" * 70, "A, b.c " * 9]
+    raw = [t.encode() for t in texts]
+    for a in range(0, len(raw), 500):
+        ids, cuts = own.encode(np.frombuffer(b"".join(raw[a : a + 500]), np.uint8), np.cumsum([0, *map(len, raw[a : a + 500])]))
+        for text, x, y in zip(texts[a : a + 500], cuts[:-1], cuts[1:], strict=True):
+            assert ids[x:y].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_equal_hashes_of_other_words(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "word_hashes", lambda low, starts, ends: np.zeros(len(starts), np.uint64))
+    text = b"one two three four"
+    ids, _ = packing.WordIds(MODEL).encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert ids.tolist() == tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
 
 def test_exchanges_add_to_squared_fill_and_empty_bins():

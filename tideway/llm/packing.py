@@ -3,7 +3,7 @@
 1. Texts become token ids, each with an end id; documents longer than the capacity are cut, and
    every full piece is a sequence of its own. Ids are found per distinct word of a block:
    the tokenizer's normalization and splits never reach over ASCII white space, so a text's
-   ids are those of its words in a row; a worker keeps the words it has seen.
+   ids are those of its words in a row; a worker keeps the words it has seen, and numpy lays the ids out.
 2. The other pieces are dealt by a hash of their row number into blocks of about BLOCK, however
    alike their lengths, documents or sources are. Each block is packed best-fit, longest first,
    and then searched: of the exchanges between an underfull source bin, the emptiest first, and
@@ -25,7 +25,6 @@ play no part. Row numbers follow the partitions of docs, and with them which bin
 import os
 import re
 import zlib
-from itertools import chain
 from struct import pack as packed
 
 import numpy as np
@@ -35,28 +34,45 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .store import bound_batches, materialize, quoted, scope
-from .textbytes import blocks, releasing, text_buffer
+from .textbytes import LOWER, NON_SPACE, blocks, byte_class, releasing, text_buffer, word_hashes
 
 CAPACITY = 2048
 BLOCK = 16_384
 END_ID = 0
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 2 << 20
 #: Words that a worker keeps; then it starts anew. Longer ones than WORD_BYTES are not kept.
-WORDS = 3 << 18
+WORDS = 1 << 20
 WORD_BYTES = 64
 #: Small letters of ASCII and letters of Latin-1, as UTF-8: normalization changes none but their case, and they are one stretch for the tokenizer.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
-#: Where the tokenizer always cuts: its special tokens have no such place, and no mark after it joins the letter.
-CUT = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
-#: Characters beyond Latin-1: marks that join the letter before may be among them.
-BEYOND = re.compile(rb"[\xc4-\xf4]")
-
-
-def words(text: bytes) -> list[bytes]:
-    """Parts of a text whose ids are its own in a row; in lower case, as the tokenizer takes them, where that changes nothing else."""
-    if b"<|" not in text and not BEYOND.search(text):
-        text = text.lower()
-    return CUT.sub(b" ", text).split()
+#: The tokenizer always cuts between a letter and these: its special tokens have no such place, and no mark after it joins the letter.
+PUNCTUATION = byte_class(lambda b: b in b".,;:!?")
+LETTER = byte_class(lambda b: b < 0x80 and chr(b).isalpha())
+#: First bytes of characters beyond Latin-1: marks that join the letter before may be among them.
+BEYOND = byte_class(lambda b: b >= 0xC4)
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, first byte, last byte + 1) of the words of texts: parts whose ids in a row are the text's.
+
+    The bytes are in lower case, as the tokenizer takes them, where that changes nothing else: not in texts that
+    may hold a special token or a mark that joins a letter.
+    """
+    n = len(data)
+    odd = BEYOND[data]
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    keep = np.diff(np.r_[0, np.cumsum(odd)][offsets]) > 0
+    low = LOWER[data]
+    for s, e in zip(offsets[:-1][keep], offsets[1:][keep], strict=True):
+        low[s:e] = data[s:e]
+    inside = NON_SPACE[low]
+    fresh = inside.copy()
+    fresh[1:] &= ~inside[:-1] | (LETTER[low[:-1]] & PUNCTUATION[low[1:]])
+    firsts = offsets[:-1][offsets[:-1] < n]
+    fresh[firsts] = inside[firsts]
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | fresh[1:]
+    return low, np.flatnonzero(fresh), np.flatnonzero(ends) + 1
 
 
 class WordIds:
@@ -83,18 +99,41 @@ class WordIds:
             for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
                 known[word] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, first place of each text's and the end) of some texts."""
         if len(self.known) > WORDS:
             self.known.clear()
-        split = [words(t) for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.known)
+        low, starts, ends = words(data, offsets)
+        _, first, which = np.unique(word_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        raw = low.tobytes()
+        # equal hashes are taken for equal words where length and first bytes agree too
+        same = self._same(low, starts, ends, first[which])
+        each = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        if not same:
+            each = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+            which = np.arange(len(each))
+        new = set(each).difference(self.known)
         self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, found)) for found in split]
+        found = [self.known[w] for w in each]
         for w in new:
             if len(w) > WORD_BYTES:
                 del self.known[w]
-        return out
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        base = np.cumsum(size) - size
+        times = size[which]
+        place = np.cumsum(times) - times
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(base[which] - place, times) + np.arange(times.sum())]
+        return ids, np.r_[0, np.cumsum(times)][np.searchsorted(starts, offsets)]
+
+    @staticmethod
+    def _same(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+        padded = np.zeros(len(low) + 8, np.uint8)
+        padded[: len(low)] = low
+        eight = np.ndarray((len(low) + 1,), "<u8", padded, 0, (1,))
+        size = ends - starts
+        mask = (np.uint64(1) << (np.minimum(size, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        begin = eight[starts] & mask
+        return bool((size == size[other]).all() and (begin == begin[other]).all())
 
 
 _kept: dict[str, WordIds] = {}
@@ -104,8 +143,6 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, model: str, capacity: in
     """item (a row number), id, piece, start, length, ids_crc32 of every piece, and its ids where asked for."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     bound_batches(docs.sparkSession)
-    end = np.array([END_ID], "<u4").tobytes()
-    step = 4 * capacity
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,13 +154,14 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, model: str, capacity: in
             data, offsets = text_buffer(batch.column(1))
             for a, b in blocks(offsets, TEXT_BYTES):
                 rows, own = [], []
-                for row, found in enumerate(_kept[model].encode([data[s:e].tobytes() for s, e in zip(offsets[a:b], offsets[a + 1 : b + 1], strict=True)]), a):
-                    found += end
-                    for at in range(0, len(found), step):
-                        part = found[at : at + step]
-                        rows.append((item, row, at // step, at // 4, len(part) // 4, zlib.crc32(part)))
+                found, cuts = _kept[model].encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for row, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True), a):
+                    whole = np.append(found[x:y], np.uint32(END_ID)).astype("<u4")
+                    for at in range(0, len(whole), capacity):
+                        part = whole[at : at + capacity]
+                        rows.append((item, row, at // capacity, at, len(part), zlib.crc32(part)))
                         if ids:
-                            own.append(np.frombuffer(part, "<u4").astype(np.int64))
+                            own.append(part.astype(np.int64))
                         item += 1
                 number, row, *rest = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True))
                 columns = [number, batch.column(0).take(row), rest[0].cast(pa.int32()), *rest[1:]]

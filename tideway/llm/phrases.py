@@ -25,6 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -252,7 +253,8 @@ def _pass(texts: DataFrame, trie: Trie | None, k: int, last: bool) -> DataFrame:
         if len(here):
             yield batch_of(found=_key(trie.phrases[here]), n=sums[here])
 
-    return materialize(texts.select("numbers", "alive").mapInArrow(releasing(run), _PASS))
+    passed = texts.select("numbers", "alive").mapInArrow(releasing(run), _PASS)
+    return materialize(passed) if trie else passed  # without a trie there are candidates alone, which are read once
 
 
 def _sums(passed: DataFrame, kind: str) -> DataFrame:
@@ -312,9 +314,33 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
         spelled = kept.select(F.col("phrase").alias("id"), place).join(words.select(key.alias("part"), "word"), "part")
         spelled = spelled.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))  # at most longest words
         whole = kept.withColumnRenamed("phrase", "id").join(spelled, "id")
-        order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-        ranked = whole.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
-        return materialize(ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"), keep=True)
+        ranked = _ranked(kept.withColumnRenamed("phrase", "id").join(spelled, "id"), best)
+        return materialize(ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score"), keep=True)
+
+
+def _ranked(rows: DataFrame, best: int) -> DataFrame:
+    """rows with their rank in lang, up to best: sorted over all tasks and numbered from the tasks' counts, so that no language is one task."""
+    by = [F.col("lang"), F.desc("score"), F.desc("a"), F.col("phrase")]
+    sorted_ = rows.repartitionByRange(*by).sortWithinPartitions(*by).select(*rows.columns)
+    kinds = rows.schema
+
+    def number(batches):
+        task, lang, at = TaskContext.get().partitionId(), None, 0
+        where = kinds.names.index("lang")
+        for batch in batches:
+            places = []
+            for v in batch.column(where).to_pylist():
+                lang, at = v, at + 1 if v == lang else 1
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(places), pa.int32()), pa.array(places, pa.int64())], names=[*kinds.names, "task", "place"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds)
+    # the first best of a task are enough of it, and a full count stands for more
+    placed = materialize(sorted_.mapInArrow(releasing(number), f"{schema}, task int, place long").filter(F.col("place") <= best))
+    tasks = placed.groupBy("lang", "task").agg(F.max("place").alias("m"))
+    before = F.coalesce(F.sum("m").over(Window.partitionBy("lang").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = F.broadcast(tasks.select("lang", "task", before.alias("before")))  # one row per task and language in it
+    return placed.join(tasks, ["lang", "task"]).withColumn("rank", F.col("place") + F.col("before")).filter(F.col("rank") <= best)
 
 
 def query(docs: DataFrame) -> DataFrame:
