@@ -13,7 +13,7 @@ from .sinks import files
 from .sources import copytext, scan
 from .sources.incremental import Incremental, StateTable
 from .storage import Files, arrow_at, scratch
-from .streaming.staged import merge_stream
+from .streaming.staged import append_stream, merge_stream, stream_id
 
 BOUND = "2024-01-15 00:00:00"
 LATE = "2024-01-20 12:00:00"
@@ -366,6 +366,35 @@ def merge_jdbc(spark, sf_dir):
     return scan.jdbc_query(spark, options, f"SELECT * FROM {name}")
 
 
+@query("SELECT * REPLACE (CASE WHEN o_orderkey % 1000 = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus), true AS few FROM orders")
+def merge_scattered(spark, sf_dir):
+    """A few keys all over a table of many files; few: no more files than keys were written anew."""
+    orders, before = table(spark, sf_dir, "orders"), spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    t = load.FileTable(spark, scratch(spark, "table")).create(orders.schema, ["o_orderkey"])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "50")
+    try:
+        t.append(orders)
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", before)
+    staged = orders.filter("o_orderkey % 1000 = 7").withColumn("o_orderstatus", F.lit("X"))
+    t.merge(staged, ["o_orderkey"])
+    few = sum(map(len, t.state()["gone"].values())) <= staged.count()
+    return t.read().withColumn("few", F.lit(few))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def stream_append(spark, sf_dir):
+    """Two runs of a stream over a growing folder, of whose batches the first is run again, append every row once."""
+    orders, staging, checkpoint = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), scratch(spark, "staging"), scratch(spark, "stream")
+    t = load.FileTable(spark, scratch(spark, "table"))
+    for part in (0, 1):
+        grown = orders.filter(F.pmod("o_orderkey", F.lit(2)) == part)
+        grown.write.mode("append").parquet(staging)
+        append_stream(spark, spark.readStream.schema(orders.schema).parquet(staging), t, checkpoint)
+        t.append(grown, batch=(stream_id(spark, checkpoint), part))
+    return t.read()
+
+
 @query(_MERGED)
 def stream_merge(spark, sf_dir):
     orders, staging = table(spark, sf_dir, "orders"), scratch(spark, "staging")

@@ -15,13 +15,16 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that driver and executors share: spark.checkpoint.dir.
 
-    Where it is unset, a temporary folder in local mode, and one in the warehouse on a cluster.
+    Where it is unset, a temporary folder in local mode, and one in the warehouse on a cluster, which must not be a local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if Files(spark).qualified(warehouse).startswith("file:"):
+            raise ValueError(f"on a cluster set spark.checkpoint.dir to a folder that driver and executors share: the warehouse is the local {warehouse}")
+        return warehouse + "/_scratch"
     if spark.sparkContext.applicationId not in _own:
         _own[spark.sparkContext.applicationId] = root = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
@@ -63,6 +66,9 @@ class Files:
         found = [(s.getPath().toString(), s.getLen()) for s in self._fs(path).listStatus(self._path(path)) if s.isFile()]
         return sorted(f for f in found if not f[0].rpartition("/")[2].startswith(("_", ".")))
 
+    def size(self, path: str) -> int:
+        return self._fs(path).getFileStatus(self._path(path)).getLen()
+
     def folders(self, path: str) -> list[str]:
         """Names of the folders right under path, hidden ones left out but for those of partitions."""
         found = [s.getPath().getName() for s in self._fs(path).listStatus(self._path(path)) if s.isDirectory()]

@@ -1,5 +1,7 @@
 """Structured Streaming over a staging folder: finished files are merged or delivered while later ones are written."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,6 +21,23 @@ def merge_stream(spark: SparkSession, staging: str, schema: T.StructType, table:
     stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def append_stream(spark: SparkSession, rows: DataFrame, table: FileTable, checkpoint: str) -> None:
+    """Append what a stream has that is new since the last call, every row once.
+
+    A commit names the stream (its checkpoint's id) and the batch, so that a batch that is run again after its commit adds nothing.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        table.append(batch, batch=(stream_id(spark, checkpoint), number))
+
+    rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark has given the stream of a checkpoint."""
+    return json.loads(Files(spark).read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def deliver_stream(spark: SparkSession, staging: str, folder: str, ledger: str, checkpoint: str, early: bool = False) -> None:
     """Deliver all staged files that are new since the last call. early: of a folder of early chunks, those whose tasks have committed by now."""
 
