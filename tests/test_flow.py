@@ -13,7 +13,7 @@ from tideway.functions.schema import describe
 from tideway.operators import deliver, jdbc, load
 from tideway.plans.flow import Flow
 from tideway.sinks import files
-from tideway.sources import scan
+from tideway.sources import scan, stream
 from tideway.sources.incremental import Incremental, StateTable, Watermark, WatermarkError, as_state, from_state
 from tideway.streaming.staged import append_stream, deliver_stream, merge_stream, stream_id
 
@@ -219,6 +219,53 @@ def test_jdbc(spark):
         read(isolation="serializable", partition=('"id"', 0, 1, 2))
 
 
+def test_equal_shares_of_a_skewed_key(spark):
+    """90 % of the rows in a tenth of the range, and rows without a key: no connection takes more than a quarter."""
+    o = derby(spark, "t2")
+    df = spark.range(2000).select(F.when(F.col("id") % 10 > 0, F.col("id") % 500).when(F.col("id") < 1900, F.col("id") * 5).alias("k"), "id")
+    df.write.format("jdbc").options(**o).option("dbtable", "skewed").mode("error").save()
+    read = scan.jdbc_query(spark, o, "SELECT * FROM skewed", partition=('"k"', 8))
+    sizes = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 500 and read.rdd.getNumPartitions() == 8 and read.exceptAll(df).isEmpty()
+    even = scan.jdbc_query(spark, o, "SELECT * FROM skewed", partition=('"k"', 0, 9501, 8))
+    assert max(r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()) > 1500
+    assert scan.depth_predicates("c", []) == ["1 = 1"] and scan.depth_predicates("c", [3, 3]) == ["c < 3 OR c IS NULL", "c >= 3"]
+    assert scan.depth_predicates("c", [dt.date(2024, 1, 2), dt.date(2024, 2, 1)])[1] == "c >= DATE '2024-01-02' AND c < DATE '2024-02-01'"
+    assert scan.sql_value(dt.datetime(2024, 1, 2, 3)) == "TIMESTAMP '2024-01-02 03:00:00'" and scan.sql_value("o'b") == "'o''b'"
+    assert scan.percentile_sql("SELECT k FROM t", '"k"', 4) == """SELECT unnest(percentile_disc(ARRAY[0.25, 0.5, 0.75]) WITHIN GROUP (ORDER BY "k")) AS cut FROM (SELECT k FROM t) k WHERE "k" IS NOT NULL"""
+
+
+@pytest.mark.parametrize("cursor", ["at", "instant", "n", "day", "x", "name"])
+def test_incremental_streams(spark, tmp_path, cursor):
+    """Runs over a growing folder, with a driver that stops between a batch and its commit, take every row once; rows without a cursor come with the first."""
+    path, check = str(tmp_path / "s"), str(tmp_path / "c")
+    table = load.FileTable(spark, str(tmp_path / "t"))
+
+    def grow(a, b, none=0):
+        i = F.col("id")
+        rows = spark.range(a, b).select(
+            "id", F.timestamp_micros(i * 1_000_001).cast("timestamp_ntz").alias("at"), F.timestamp_micros(i * 1_000_001).alias("instant"), i.alias("n"),
+            F.date_add(F.lit("2024-01-01").cast("date"), i.cast("int")).alias("day"), (i / 7).alias("x"), F.lpad(i.cast("string"), 5, "0").alias("name"),
+        )
+        if none:
+            rows = rows.union(spark.range(none).select((-1 - F.col("id")).alias("id"), *(F.lit(None).cast(f.dataType) for f in rows.schema[1:])))
+        rows.write.mode("append").parquet(path)
+
+    run = lambda: append_stream(spark, stream.stream(spark, path, cursor), table, check)
+    grow(0, 50, none=3)
+    run()
+    assert table.read().count() == 53
+    if cursor == "at":
+        for name in glob.glob(f"{check}/commits/[0-9]*") + glob.glob(f"{check}/commits/.[0-9]*"):
+            os.remove(name)
+    grow(50, 80, none=2)
+    run()
+    run()
+    assert sorted(r["id"] for r in table.read().collect()) == [-3, -2, -1, *range(80)]
+    last = json.loads(open(sorted(glob.glob(f"{check}/offsets/[0-9]*"), key=lambda p: int(os.path.basename(p)))[-1]).read().splitlines()[-1])
+    assert last["after"] == {"at": "79000079", "instant": "79000079", "n": "79", "day": "19802", "x": repr(79 / 7), "name": "00079"}[cursor]
+
+
 def test_sql_text():
     sql = jdbc.merge_sql("t", "s", ["id", "name", "updated_at"], ["id"])
     assert 'ON t."id" = s."id" WHEN MATCHED THEN UPDATE SET "name" = s."name", "updated_at" = s."updated_at" WHEN NOT MATCHED' in sql and 'VALUES (s."id", s."name", s."updated_at")' in sql

@@ -10,7 +10,7 @@ from .functions.schema import describe, normalize
 from .operators import deliver, jdbc, load
 from .plans.flow import Flow
 from .sinks import files
-from .sources import copytext, scan
+from .sources import copytext, scan, stream
 from .sources.incremental import Incremental, StateTable
 from .storage import Files, arrow_at, scratch
 from .streaming.staged import append_stream, merge_stream, stream_id
@@ -74,6 +74,16 @@ def scan_partitioned(spark, sf_dir):
     return scan.jdbc_query(spark, options, sql, partition=('"o_orderkey"', 0, int(top) + 1, 4))
 
 
+@query("SELECT o_orderkey, CAST(o_orderkey AS BIGINT) * o_orderkey * o_orderkey AS cube, true AS even FROM orders")
+def scan_skewed(spark, sf_dir):
+    """A key with most of its rows in a small part of its range, read over eight connections; even: none of them takes more than a quarter."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey").cast("long") * F.col("o_orderkey") * F.col("o_orderkey")).alias("cube"))
+    options, name = _database_table(spark, rows)
+    read = scan.jdbc_query(spark, options, f"SELECT * FROM {name}", partition=('"cube"', 8))
+    sizes = read.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count").alias("most"), F.sum("count").alias("n"))
+    return read.crossJoin(F.broadcast(sizes)).select("o_orderkey", "cube", (4 * F.col("most") <= F.col("n")).alias("even"))
+
+
 _EVENTS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
 
 
@@ -144,6 +154,18 @@ def watermark_chain(spark, sf_dir):
     return load.FileTable(spark, out).read()
 
 
+@query("SELECT * FROM events")
+def incremental_stream(spark, sf_dir):
+    """The incremental scan as a stream: two runs over a growing folder append every row once."""
+    events, folder, checkpoint = table(spark, sf_dir, "events"), scratch(spark, "grown"), scratch(spark, "stream")
+    t = load.FileTable(spark, scratch(spark, "table"))
+    late = F.col("ts") > F.lit(LATE).cast("timestamp_ntz")
+    for part in (~late, late):
+        events.filter(part).write.mode("append").parquet(folder)
+        append_stream(spark, stream.stream(spark, folder, "ts"), t, checkpoint)
+    return t.read()
+
+
 @query("SELECT event_id, epoch_us(ts) AS micros FROM events")
 def watermark_zones(spark, sf_dir):
     """Three runs over a growing source with an instant as cursor, each in a session of another time zone, cover every row once."""

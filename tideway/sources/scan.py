@@ -1,8 +1,11 @@
 """Scans: a query over registered tables, or over a database through JDBC."""
 
+import datetime as dt
 import re
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FETCH = 1000
@@ -68,17 +71,58 @@ def query(spark: SparkSession, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
+def sql_value(value) -> str:
+    """A bound as SQL: numbers as they are, dates and times as typed literals, anything else as text."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP {literal(value.isoformat(' '))}"
+    if isinstance(value, dt.date):
+        return f"DATE {literal(value.isoformat())}"
+    return literal(str(value))
+
+
+def depth_predicates(column: str, cuts: list) -> list[str]:
+    """Conditions that part a table at ascending cuts; every row, those with a NULL too, meets one of them."""
+    cuts = [sql_value(c) for c in dict.fromkeys(cuts)]
+    if not cuts:
+        return ["1 = 1"]
+    first, last = f"{column} < {cuts[0]} OR {column} IS NULL", f"{column} >= {cuts[-1]}"
+    return [first, *(f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)), last]
+
+
+def percentile_sql(sql: str, column: str, n: int) -> str:
+    """One query for the n - 1 cuts of PostgreSQL that leave equal shares."""
+    shares = ", ".join(str(i / n) for i in range(1, n))
+    return f"SELECT unnest(percentile_disc(ARRAY[{shares}]) WITHIN GROUP (ORDER BY {column})) AS cut FROM ({sql}) k WHERE {column} IS NOT NULL"
+
+
+def depth_cuts(spark: SparkSession, options: dict, sql: str, column: str, n: int, fetch: int = FETCH) -> list:
+    """The n - 1 values of a query's column that part its rows into equal shares: by the database where it has percentiles, else by a pass of Spark's over that column alone."""
+    if n < 2:
+        return []
+    if options["url"].startswith("jdbc:postgresql:"):
+        return [r[0] for r in jdbc_query(spark, options, percentile_sql(sql, column, n), fetch).collect()]
+    keys = jdbc_query(spark, options, f"SELECT {column} AS {identifier('k')} FROM ({sql}) k", fetch)
+    if isinstance(keys.schema["k"].dataType, (T.StringType, T.BinaryType)):
+        raise TypeError("equal shares need a column of numbers, dates or times")
+    return keys.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 10_000)).first()[0] or []
+
+
 def jdbc_query(spark: SparkSession, options: dict, sql: str, fetch: int = FETCH, isolation: str | None = None, partition: tuple | None = None, session_statement: str | None = None) -> DataFrame:
-    """A query of the database. partition: (column, lower, upper, number of connections).
+    """A query of the database. partition: (column, lower, upper, number of connections) for parts of equal width, (column, number) for parts of equal numbers of rows.
 
     With an isolation level the read is one transaction and so one connection: several would each see a snapshot of their own.
     """
     if isolation and partition:
         raise ValueError("one snapshot needs one connection: give isolation or partition, not both")
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", f"({sql}) src").option("fetchsize", fetch)
     start = session_statement or (isolation_statement(isolation) if isolation else None)
-    if start:
-        reader = reader.option("sessionInitStatement", start)
+    given = options | {"fetchsize": str(fetch)} | ({"sessionInitStatement": start} if start else {})
+    if partition and len(partition) == 2:
+        column, n = partition
+        where = depth_predicates(column, depth_cuts(spark, given, sql, column, n, fetch))
+        return spark.read.jdbc(options["url"], f"({sql}) src", predicates=where, properties={k: str(v) for k, v in given.items() if k != "url"})
+    reader = spark.read.format("jdbc").options(**given).option("dbtable", f"({sql}) src")
     if partition:
         column, lower, upper, n = partition
         reader = reader.option("partitionColumn", column).option("lowerBound", lower).option("upperBound", upper).option("numPartitions", n)
