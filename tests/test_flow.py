@@ -565,6 +565,36 @@ def test_chunks_and_copies_on_a_store_that_only_spark_knows(spark, mounted, tmp_
     assert deliver.deliver(listed, f"{at}/out", str(tmp_path / "ledger")) == 0
 
 
+def test_a_large_file_is_copied_by_several_tasks(spark, tmp_path, monkeypatch):
+    staged, out, ledger, marks = tmp_path / "s", tmp_path / "o", str(tmp_path / "l"), tmp_path / "m"
+    staged.mkdir()
+    marks.mkdir()
+    data = os.urandom(800_001)
+    (staged / "large").write_bytes(data)
+    (staged / "other").write_bytes(data[:300_000])
+    (staged / "small").write_bytes(b"small")
+    copy, at = deliver.copy_stretch, str(marks)
+
+    def marked(source, target, start, length):
+        from pyspark import TaskContext
+
+        name = os.path.basename(source)
+        if name == "other" and start and not glob.glob(f"{at}/other-*-again"):
+            open(f"{at}/other-{start}-again", "w").close()
+            raise RuntimeError("stopped in the middle")
+        open(f"{at}/{name}-{start}-{TaskContext.get().partitionId()}", "w").close()
+        copy(source, target, start, length)
+
+    monkeypatch.setattr(deliver, "copy_stretch", marked)
+    go = lambda: deliver.deliver(deliver.manifest(spark, str(staged)), str(out), ledger, part_bytes=100_000)
+    with pytest.raises(deliver.DeliveryError, match="stopped in the middle"):
+        go()
+    assert sorted(os.listdir(out)) == ["large", "small"] and (out / "large").read_bytes() == data
+    tasks = {f.name.rpartition("-")[2] for f in marks.glob("large-*")}
+    assert len(list(marks.glob("large-*"))) == 9 and len(tasks) >= 8
+    assert (go(), go()) == (1, 0) and (out / "other").read_bytes() == data[:300_000] and len(list(marks.glob("large-*"))) == 9
+
+
 def test_a_replaced_file_goes_again(spark, tmp_path):
     staged, out, ledger = tmp_path / "s", tmp_path / "o", str(tmp_path / "l")
     staged.mkdir()

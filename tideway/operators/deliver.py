@@ -8,10 +8,12 @@ copied, and the error is raised behind it, so that the next call goes on with wh
 lost driver costs one round. Two files of one name would overwrite each other, in one manifest
 or one delivered before from another path: that is an error.
 
-Tasks copy through pyarrow where it knows both stores. Elsewhere Spark's own reader and writer
+Tasks copy through pyarrow where it knows both stores; into a file system with positioned writes, a
+file of over PART_BYTES is copied by several tasks, each a stretch, and shows once all are there. Elsewhere Spark's own reader and writer
 carry the bytes, so that any store of Hadoop's will do: a file is then one row, of 2 GB at most.
 """
 
+import os
 import uuid
 
 import pandas as pd
@@ -25,6 +27,7 @@ MANIFEST = "path string, file_name string, length long, modified timestamp"
 LEDGER = MANIFEST + ", error string"
 COPY_BYTES = 8 << 20
 ROUND = 10_000
+PART_BYTES = 128 << 20
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -84,6 +87,66 @@ def copy_by_spark(spark: SparkSession, paths: list[str], folder: str) -> None:
         files.delete(staging)
 
 
+def copy_stretch(source: str, target: str, start: int, length: int) -> None:
+    """Copy a stretch of a file to its place in another, which may not be there yet, on a file system with positioned writes."""
+    from_fs, from_path = arrow_at(source)
+    _, path = arrow_at(target)
+    out = os.open(path, os.O_CREAT | os.O_WRONLY)
+    try:
+        with from_fs.open_input_file(from_path) as a:
+            a.seek(start)
+            at, end = start, start + length
+            while at < end:
+                part = a.read(min(COPY_BYTES, end - at))
+                if not part:
+                    raise OSError(f"{source} has become shorter")
+                at += os.pwrite(out, part, at)
+                a.seek(at)
+        os.fsync(out)
+    finally:
+        os.close(out)
+
+
+def copy_in_parts(large: DataFrame, folder: str, ledger: str, part_bytes: int) -> list[str]:
+    """Copy each file of a manifest by several tasks, list those that came through in the ledger, and return the errors of the others.
+
+    A stretch that is copied twice writes the same bytes to the same place; a file gets its name when all its stretches are there.
+    """
+    spark, files = large.sparkSession, Files(large.sparkSession)
+    turn = uuid.uuid4().hex
+    beside = F.concat(F.lit(f"{folder.rstrip('/')}/."), "file_name", F.lit(f".{turn}"))
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part_bytes).cast("long")))
+    parts = large.select("path", "length", beside.alias("beside"), stretch.alias("start"))
+
+    def run(batches):
+        for rows in batches:
+            errors = []
+            for path, length, to, start in zip(rows["path"], rows["length"], rows["beside"], rows["start"], strict=True):
+                try:
+                    copy_stretch(path, to, start, min(part_bytes, length - start))
+                    errors.append(None)
+                except Exception as e:
+                    errors.append(f"{path}: {type(e).__name__}: {e}")
+            yield pd.DataFrame({"path": rows["path"], "error": pd.Series(errors, index=rows.index, dtype=object)})
+
+    n = parts.count()
+    dealt = parts.repartitionByRange(max(n, 1), "path", "start")  # a task a stretch
+    failed = dict(dealt.mapInPandas(run, "path string, error string").groupBy("path").agg(F.min("error").alias("e")).filter("e IS NOT NULL").collect())
+    done = []
+    for path, name in large.select("path", "file_name").collect():  # one round's
+        hidden = f"{folder.rstrip('/')}/.{name}.{turn}"
+        if path in failed:
+            files.delete(hidden)
+            continue
+        to = f"{folder.rstrip('/')}/{name}"
+        files.delete(to)
+        files.rename(hidden, to)
+        done.append(path)
+    if done:
+        large.filter(F.col("path").isin(done)).withColumn("error", F.lit(None).cast("string")).write.mode("append").parquet(ledger)
+    return list(failed.values())
+
+
 class DeliveryError(RuntimeError):
     """Some copies of a round failed; the others are in the ledger."""
 
@@ -94,7 +157,7 @@ def _stores(listed: DataFrame) -> list[str]:
     return [r["p"] for r in listed.groupBy(store.alias("s")).agg(F.min("path").alias("p")).collect()]
 
 
-def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_files: int = ROUND) -> int:
+def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_files: int = ROUND, part_bytes: int = PART_BYTES) -> int:
     """Copy the pending files of a manifest; returns how many."""
     spark = listed.sparkSession
     files = Files(spark)
@@ -133,12 +196,20 @@ def deliver(listed: DataFrame, folder: str, ledger: str, copy=copy_file, round_f
                 mine.withColumn("error", F.lit(None).cast("string")).write.mode("append").parquet(ledger)
                 delivered += len(paths)
                 continue
+            errors = []
+            if copy is copy_file and folder.startswith("file:"):
+                large = mine.filter(F.col("length") > part_bytes)
+                several = large.count()
+                errors = copy_in_parts(large, folder, ledger, part_bytes) if several else []
+                delivered += several - len(errors)
+                mine = mine.filter(F.col("length") <= part_bytes)
             seen = Observation()
             done = mine.repartition("path").mapInPandas(run, LEDGER).observe(seen, F.count_if(F.col("error").isNull()).alias("fine"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.min("error").alias("error"))
             done.write.mode("append").parquet(ledger)
             delivered += seen.get["fine"]
-            if seen.get["failed"]:
-                raise DeliveryError(f"{seen.get['failed']} copies failed, the first: {seen.get['error']}")
+            errors += [seen.get["error"]] * seen.get["failed"]
+            if errors:
+                raise DeliveryError(f"{len(errors)} copies failed, the first: {min(errors)}")
     finally:
         files.delete(held)
     return delivered
