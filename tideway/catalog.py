@@ -443,8 +443,9 @@ _NAMES = " UNION ALL ".join(f"SELECT '{t}.snappy.parquet' AS file_name, count(*)
 
 
 def _rows_of(spark, listed: DataFrame, folder: str) -> DataFrame:
-    """file_name, its rows in folder, and whether it has the listed length there."""
-    there = deliver.manifest(spark, folder, "*.parquet").select("file_name", F.col("length").alias("there"))
+    """file_name, its rows in folder, and whether as many bytes can be read there as are listed."""
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    there = read.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.octet_length("content").cast("long").alias("there"))
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name")
     counts = None
     for t in _TABLES:  # files of different schemas
@@ -515,6 +516,21 @@ def decode_arrays(spark, sf_dir):
     return text.select("l_orderkey", F.size(p).cast("long").alias("n"), F.aggregate(p, F.lit(0).cast("long"), lambda a, x: a + x).alias("parts"), F.array_min(ln).alias("least"))
 
 
+@query("SELECT p_partkey, [p_name, NULL, 'NULL', concat('say \"', p_brand, '\" \\, {}'), CAST(p_size AS VARCHAR)] AS items, [p_size, NULL, -p_size] AS sizes FROM part")
+def decode_array_text(spark, sf_dir):
+    """Array text as a database or a person may write it: spaces around items, quotes where none are needed, escapes, the word NULL quoted and not."""
+    quote = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    odd, size = F.concat(F.lit('say "'), F.col("p_brand"), F.lit('" \\, {}')), F.col("p_size").cast("string")
+    items = F.concat(F.lit("{ "), quote(F.col("p_name")), F.lit(' , null,"NULL",'), quote(odd), F.lit(",  "), size, F.lit(" }"))
+    sizes = F.concat(F.lit("{"), size, F.lit(', NULL,"-'), size, F.lit('"}'))
+    part = table(spark, sf_dir, "part").select("p_partkey", items.alias("items"), sizes.alias("sizes"))
+    return part.select("p_partkey", pgtext.decode_array(F.col("items"), T.StringType()).alias("items"), pgtext.decode_array(F.col("sizes"), part_type(spark, sf_dir)).alias("sizes"))
+
+
+def part_type(spark, sf_dir) -> T.DataType:
+    return table(spark, sf_dir, "part").schema["p_size"].dataType
+
+
 @query("SELECT p_partkey, p_name, p_brand, CASE WHEN p_size % 2 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS size FROM part")
 def decode_hstore(spark, sf_dir):
     part = table(spark, sf_dir, "part")
