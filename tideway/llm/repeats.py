@@ -42,6 +42,8 @@ SPAN = 200
 GRAM = 50
 REACH = SPAN - GRAM  # a window's grams start at 0 .. REACH
 LIMIT = 256
+#: Windows of the buckets that are searched at once.
+WINDOWS = 8192
 BLOCK = 16
 FLAGS = 1 << 21
 _LOW = np.uint64((1 << 24) - 1)
@@ -153,32 +155,34 @@ def _flagged(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.withColumn("slot", slot).select("kid", "th", "text", "slot").mapInArrow(run, "kid long, th long, text string").dropDuplicates(["kid", "th"])
 
 
-def suffix_array(members: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(member, offset, common prefix with the next, left byte) of the sorted suffixes that start a window; -1: a member's start."""
-    size = np.array([len(m) for m in members])
+def suffix_array(data: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(member, offset, common prefix with the next, left byte) of the sorted suffixes that start a window; -1: a member's start.
+
+    Members are stretches of data in a row, of given sizes; those of several buckets are sorted at once, apart from each other.
+    """
     width = int(size.max())
-    text = np.frombuffer(b"".join(members) + bytes(width), np.uint8)
+    text = np.concatenate([data, np.zeros(width, np.uint8)])
     first = np.cumsum(size) - size
     windows = size - SPAN + 1
-    member = np.repeat(np.arange(len(members)), windows)
+    member = np.repeat(np.arange(len(size)), windows)
     offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     start, length = first[member] + offset, size[member] - offset
     table = text[start[:, None] + np.arange(width)]
     table[np.arange(width) >= length[:, None]] = 0
-    order = np.lexsort((length, table.view(f"S{width}").ravel())) if width else np.zeros(0, int)
-    table, length = table[order], length[order]
+    order = np.lexsort((length, table.view(f"S{width}").ravel(), bucket[member]))
+    table, length, member, offset = table[order], length[order], member[order], offset[order]
     differ = table[1:] != table[:-1]
     common = np.where(differ.any(1), differ.argmax(1), width)
     common = np.minimum(common, np.minimum(length[1:], length[:-1]))
-    member, offset = member[order], offset[order]
+    common[bucket[member[1:]] != bucket[member[:-1]]] = 0
     left = np.where(offset > 0, text[first[member] + offset - 1].astype(np.int64), -1)
     return member, offset, np.r_[common, 0], left
 
 
-def intervals(common: np.ndarray, least: int):
+def intervals(common, least: int):
     """(common prefix, from, to): the common-prefix intervals of at least that depth, by a stack scan."""
     stack: list[list[int]] = []
-    for i, c in enumerate(common.tolist()):
+    for i, c in enumerate(common):
         lo = i
         while stack and stack[-1][0] > c:
             depth, lo = stack.pop()
@@ -187,74 +191,86 @@ def intervals(common: np.ndarray, least: int):
             stack.append([c, lo])
 
 
+def _left_diverse(common: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(length, from, to) of the common-prefix intervals of at least SPAN whose suffixes differ in the byte to the left: the maximal repeats."""
+    deep = common >= SPAN
+    beside = np.r_[False, deep[:-1]] | np.r_[deep[1:], False]
+    # two suffixes alone are one interval
+    two = np.flatnonzero(deep & ~beside)
+    two = two[(left[two] < 0) | (left[two + 1] < 0) | (left[two] != left[two + 1])]
+    changes = np.r_[0, np.cumsum((left[1:] != left[:-1]) | (left[1:] < 0))].tolist()
+    starts, found = (left < 0).tolist(), []
+    more = np.flatnonzero(deep & beside)
+    for run in np.split(more, np.flatnonzero(np.diff(more) > 1) + 1) if len(more) else ():  # stretches between shallow places are scanned on their own
+        a = int(run[0])
+        for depth, lo, hi in intervals([*common[run].tolist(), 0], SPAN):
+            if starts[a + lo] or changes[a + hi - 1] > changes[a + lo]:
+                found.append((depth, a + lo, a + hi))
+    more = np.array(found, np.int64).reshape(-1, 3)
+    return tuple(np.concatenate(c) for c in ((common[two], more[:, 0]), (two, more[:, 1]), (two + 2, more[:, 2])))
+
+
 def maximal_repeats(members: list[bytes]) -> list[tuple[int, list[tuple[int, int]]]]:
     """(length, [(member, offset), ...]) of the maximal repeats of at least SPAN bytes, with all occurrences."""
-    member, offset, common, left = suffix_array(members)
-    out = []
-    deep = np.flatnonzero(common >= SPAN)
-    if not len(deep):
-        return out
-    runs = np.split(deep, np.flatnonzero(np.diff(deep) > 1) + 1)  # stretches between shallow places are scanned on their own
-    for run in runs:
-        a, b = int(run[0]), int(run[-1]) + 2
-        for depth, lo, hi in intervals(np.r_[common[a : b - 1], 0], SPAN):
-            beside = left[a + lo : a + hi]
-            if (beside < 0).any() or (beside != beside[0]).any():
-                out.append((depth, list(zip(member[a + lo : a + hi].tolist(), offset[a + lo : a + hi].tolist(), strict=True))))
-    return out
-
-
-def _covered(members: list[bytes]) -> list[np.ndarray]:
-    """For each member, which of its windows repeat."""
-    change = [np.zeros(len(m) - SPAN + 2, np.int32) for m in members]
-    for length, where in maximal_repeats(members):
-        for m, o in where:
-            change[m][o] += 1
-            change[m][o + length - SPAN + 1] -= 1
-    return [np.cumsum(c)[:-1] > 0 for c in change]
-
-
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.r_[False, flags, False]))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-
-
-def _by_key(batches):
-    """(key, rows) over a stream sorted by its first column."""
-    key, rows = None, []
+    size = np.array([len(m) for m in members])
+    member, offset, common, left = suffix_array(np.frombuffer(b"".join(members), np.uint8), size, np.zeros(len(members), np.int64))
+    return [(int(n), list(zip(member[a:b].tolist(), offset[a:b].tolist(), strict=True))) for n, a, b in zip(*_left_diverse(common, left), strict=True)]
+
+
+def covered(data: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, from, to): the stretches of windows of members that lie in an occurrence of a maximal repeat of their bucket."""
+    member, offset, common, left = suffix_array(data, size, bucket)
+    length, lo, hi = _left_diverse(common, left)
+    times = hi - lo
+    at = np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())  # all occurrences of all repeats
+    # a place for each window of each member, and one more, which no repeat covers
+    base = np.cumsum(size - SPAN + 2) - (size - SPAN + 2)
+    begin = base[member[at]] + offset[at]
+    n = int((size - SPAN + 2).sum())
+    change = np.bincount(begin, minlength=n + 1) - np.bincount(begin + np.repeat(length, times) - SPAN + 1, minlength=n + 1)
+    edge = np.flatnonzero(np.diff(np.r_[False, np.cumsum(change) > 0, False]))
+    which = np.searchsorted(base, edge[::2], "right") - 1
+    return which, edge[::2] - base[which], edge[1::2] - base[which]
+
+
+def _whole_keys(batches):
+    """Batches sorted by their first column, cut anew so that none parts the rows of a key: a key's rows are at most LIMIT."""
+    held = None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != key:
-                if rows:
-                    yield key, rows
-                key, rows = row[0], []
-            rows.append(row)
-    if rows:
-        yield key, rows
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        key = batch.column(0).to_numpy()
+        last = int(np.searchsorted(key, key[-1])) if len(key) else 0
+        if last:
+            yield batch.slice(0, last)
+        held = batch.slice(last)
+    if held is not None and held.num_rows:
+        yield held
 
 
 _FOUND = "gram long, seg long, off int, lo int, hi int"
 
 
-def _found_batch(rows):
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["gram", "seg", "off", "lo", "hi"])
-
-
 def _search(buckets: DataFrame) -> DataFrame:
     """gram, seg, off and the covered windows lo .. hi - 1 after off, of rows (key, gram, seg, off, bytes): one suffix array per key."""
 
     def run(batches):
-        out = []
-        for _, rows in _by_key(batches):
-            for (_, gram, seg, off, _), flags in zip(rows, _covered([r[4] for r in rows]), strict=True):
-                out += [(gram, seg, off, lo, hi) for lo, hi in _runs(flags)]
-            if len(out) > 5000:
-                yield _found_batch(out)
-                out = []
-        yield _found_batch(out)
-
-    return buckets.select("key", "gram", "seg", "off", "bytes").repartition("key").sortWithinPartitions("key").mapInArrow(run, _FOUND)
+        for batch in _whole_keys(batches):
+            key = batch.column(0).to_numpy()
+            data, offsets = text_buffer(batch.column(4))
+            size = np.diff(offsets)
+            first = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
+            windows = np.r_[0, np.cumsum(size - SPAN + 1)][first]
+            a = 0
+            while a < len(first) - 1:  # as many buckets at once as have about WINDOWS windows
+                b = max(a + 1, int(np.searchsorted(windows, windows[a] + WINDOWS, "right")) - 1)
+                x, y = first[a], first[b]
+                which, lo, hi = covered(data[offsets[x] : offsets[y]], size[x:y], key[x:y])
+                rows = pa.array(which + x)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (1, 2, 3)), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["gram", "seg", "off", "lo", "hi"])
+                a = b
+
+    return buckets.select("key", "gram", "seg", "off", "bytes").repartition("key").sortWithinPartitions("key").mapInArrow(releasing(run), _FOUND)
 
 
 def _blocks(texts: DataFrame) -> DataFrame:

@@ -50,9 +50,11 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; a null row is an empty text."""
+    """(bytes, offsets) of a string or binary column; a null row is an empty text."""
     if column.null_count:
         column = column.fill_null("")
+    if pa.types.is_binary(column.type):
+        column = column.view(pa.string())
     if pa.types.is_large_string(column.type):
         width = np.int64
     else:
