@@ -10,17 +10,14 @@ from tideway.llm import periods
 
 
 def brute(words):
-    """Every diagonal, step by step; of diagonals over one stretch the least lag is the period."""
-    n, found = len(words), {}
-    for q in range(1, n // 4 + 1):
-        i = q
-        while i < n:
-            j = i
-            while j < n and words[j] == words[j - q]:
-                j += 1
-            if j > i and j - i + q >= max(6, 4 * q):
-                found.setdefault((i - q, j - i + q), q)
-            i = max(j, i + 1)
+    """Every diagonal as a whole; of diagonals over one stretch the least lag is the period."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    w, found = np.array([number[x] for x in words], np.int64), {}
+    for q in range(1, len(w) // 4 + 1):
+        edge = np.flatnonzero(np.diff(np.r_[False, w[q:] == w[:-q], False]))
+        for i, j in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i, j - i + q), q)
     return sorted((s, n, q) for (s, n), q in found.items())
 
 

@@ -37,7 +37,7 @@ def result(df):
     return sorted((r["lang"], r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("least,best,trie,dictionary", [(3, 2000, 1 << 20, 1 << 21), (2, 7, 5, 9), (5, 50, 40, 30)])
+@pytest.mark.parametrize("least,best,trie,dictionary", [(3, 2000, 1 << 20, 1 << 21), (2, 7, 5, 9), (5, 50, 400, 30)])
 def test_documents(documents, least, best, trie, dictionary, monkeypatch):
     """Also with many small tries and dictionaries."""
     monkeypatch.setattr(phrases, "TRIE", trie)
