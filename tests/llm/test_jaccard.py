@@ -131,3 +131,25 @@ def test_hot_ngrams_are_ordered_last(documents, rows, monkeypatch):
     assert got == brute(rows) and len(seen[0].hot) > 100
     s = np.sort(np.concatenate([seen[0].hot[:50], np.arange(50, dtype=np.uint64)]))
     assert ((seen[0].of(s) >= jaccard.SLOTS) == np.isin(s, seen[0].hot)).all() and len(set(seen[0].hot_ranks)) == len(seen[0].hot)
+
+
+def test_a_hot_passage_leaves_all_prefixes_at_once(spark, monkeypatch):
+    """Texts share a passage of more n-grams than a prefix holds, and an order of one rank does not know it."""
+    passage = " ".join(f"p{i}" for i in range(120))
+    rows = [(k, f"{passage} {' '.join(f'o{k}x{i}' for i in range(60 + k % 5))}") for k in range(60)]
+    rows += [(100 + k, rows[k][1] + " end") for k in range(0, 60, 7)] + [(200, passage), (201, passage + " more"), (202, None), (203, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(jaccard, "HOT", 20)
+    flat = jaccard.Order(np.zeros(jaccard.SLOTS, np.int32), 0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    monkeypatch.setattr(jaccard, "order_of", lambda docs: flat)
+    sizes = []
+
+    def watched(narrow, order, f=jaccard._buckets):
+        found = f(narrow, order)
+        sizes.append(max((r["c"] for r in found[1].collect()), default=0))
+        return found
+
+    monkeypatch.setattr(jaccard, "_buckets", watched)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert got == brute(rows)
+    assert len(sizes) == 2 and sizes[0] > 20 and sizes[1] <= 20

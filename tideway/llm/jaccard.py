@@ -3,9 +3,11 @@
 A text's set is its distinct shingles of five words. The n-grams get one global order, rare
 ones first: a count sketch of SLOTS counters over all documents gives each n-gram its slot's
 rank, and hashes break ties. Any order is right, and this one keeps frequent passages out of
-the prefixes. In a corpus so large that a slot hides them, some come through; the prefixes
-that more than HOT texts share are counted exactly, ordered behind all others (MOST_HOT
-of them, the most frequent first, which bounds a list and no result), and the prefixes cut again. Then:
+the prefixes. In a corpus so large that a slot hides them, some come through: of the texts
+that share a prefix with more than HOT others, all n-grams are counted exactly, those of more
+than HOT of these texts are ordered behind all others (MOST_HOT of them, the most frequent
+first, which bounds a list and no result), and the prefixes cut again, until no bucket is
+over HOT but those of n-grams that are last already. Then:
 
 1. Texts of at least 80 % similarity share an n-gram among the first 20 % of their orders
    (prefix), and at the first one that they share, enough must be left on both sides
@@ -76,10 +78,15 @@ def _each(batch, column: int):
 
 
 class Order:
-    """The global order: each slot's rank, and behind all slots the hot n-grams (sorted hashes, and their ranks)."""
+    """The global order: each slot's rank, and behind all slots the hot n-grams (sorted hashes, and in how many texts they are).
 
-    def __init__(self, ranks: np.ndarray, hot: np.ndarray, hot_ranks: np.ndarray):
-        self.ranks, self.hot, self.hot_ranks = ranks, hot, hot_ranks
+    frequent: the least rank of a slot whose n-grams may be in more than HOT texts.
+    """
+
+    def __init__(self, ranks: np.ndarray, frequent: int, hot: np.ndarray, hot_counts: np.ndarray):
+        self.ranks, self.frequent, self.hot, self.hot_counts = ranks, frequent, hot, hot_counts
+        self.hot_ranks = np.empty(len(hot), np.int64)
+        self.hot_ranks[np.lexsort((-hot.view(np.int64), hot_counts))] = np.arange(len(hot))
 
     def of(self, s: np.ndarray) -> np.ndarray:
         out = self.ranks[_slot(s)].astype(np.int64)
@@ -114,19 +121,65 @@ def order_of(docs: DataFrame) -> Order:
     rows = docs.select("text").mapInArrow(releasing(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    ranks = np.empty(SLOTS, np.int32)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(SLOTS)
-    return Order(ranks, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    ranks, by_count = np.empty(SLOTS, np.int32), np.argsort(counts, kind="stable")
+    ranks[by_count] = np.arange(SLOTS)
+    return Order(ranks, int(np.searchsorted(counts[by_count], HOT, "right")), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
 
+def _within(s: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of s are in some (sorted, not empty)."""
+    return some[np.minimum(np.searchsorted(some, s), len(some) - 1)] == s
 
-def with_hot(order: Order, buckets: DataFrame) -> Order | None:
-    """order with the n-grams of buckets (token, c) over HOT texts behind all others, by their counts; None where there are none."""
+
+def newly_hot(order: Order, buckets: DataFrame) -> np.ndarray:
+    """The n-grams (sorted) of buckets (token, c) over HOT texts that the order has not behind all others yet; none once it holds MOST_HOT."""
+    if len(order.hot) >= MOST_HOT:
+        return order.hot[:0]
     rows = buckets.filter(F.col("c") > HOT).orderBy(F.desc("c"), "token").limit(MOST_HOT).select("token").toArrow()
-    hot = rows["token"].to_numpy().view(np.uint64)
-    if not len(hot):
+    return np.setdiff1d(rows["token"].to_numpy().view(np.uint64), order.hot)
+
+
+def common(docs: DataFrame, order, hot: np.ndarray) -> DataFrame:
+    """token, c: in how many of the texts whose prefix holds one of hot each of their n-grams is.
+
+    N-grams that the order's slots show to be in HOT texts at most are left out. Counts are summed a few
+    million n-grams at a time before they are shuffled, so that copies of a passage come as one row.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def count(batches):
+        held, size = [], 0
+        for batch in batches:
+            for _, s, token in _distinct(batch, order.value):
+                if _within(token, shared.value).any():
+                    s = s[order.value.ranks[_slot(s)] >= order.value.frequent]
+                    held.append(s)
+                    size += len(s)
+                if size > 1 << 21:
+                    yield _counts(held)
+                    held, size = [], 0
+        if held:
+            yield _counts(held)
+
+    return docs.select("id", "text").mapInArrow(releasing(count), "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
+
+
+def _counts(held: list[np.ndarray]) -> pa.RecordBatch:
+    token, c = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_arrays([_long(token), pa.array(c.astype(np.int64))], names=["token", "c"])
+
+
+def with_hot(order: Order, counts: DataFrame) -> Order | None:
+    """order with the n-grams of counts (token, c) in over HOT texts behind all others too, by their counts; None where there are no new ones."""
+    rows = counts.filter(F.col("c") > HOT).orderBy(F.desc("c"), "token").limit(MOST_HOT).toArrow()
+    hot, c = rows["token"].to_numpy().view(np.uint64), rows["c"].to_numpy()
+    new = ~np.isin(hot, order.hot)
+    hot, c = np.concatenate([order.hot, hot[new]]), np.concatenate([order.hot_counts, c[new]])
+    if not new.any():
         return None
-    at = np.argsort(hot)
-    return Order(order.ranks, hot[at], (len(hot) - 1 - np.arange(len(hot)))[at])
+    most = np.lexsort((hot.view(np.int64), -c))[:MOST_HOT]
+    at = most[np.argsort(hot[most])]
+    return Order(order.ranks, order.frequent, hot[at], c[at])
 
 
 def parities(s: np.ndarray) -> np.ndarray:
@@ -153,19 +206,25 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(releasing(run), "id long, n long, h1 long, h2 long, bits array<long>")
 
 
+def _distinct(batch, order: Order):
+    """(row of the batch, set, prefix in the global order) of the texts that are not empty. Of copies within a batch, one is enough: copies meet by hash."""
+    seen = set()
+    for i, s in _each(batch, 1):
+        n = len(s)
+        key = s.tobytes() if n <= 16 else (n, int(s.sum(dtype=np.uint64)), int(mix(s).sum(dtype=np.uint64)))
+        if n and key not in seen:
+            seen.add(key)
+            yield i, s, s[np.lexsort((s, order.of(s)))[: n - (4 * n + 4) // 5 + 1]]
+
+
 def prefixes(docs: DataFrame, order) -> DataFrame:
-    """token, id, n, pos: each text's prefix in the global order. Of copies within a batch, one is enough: copies meet by hash."""
+    """token, id, n, pos: each text's prefix in the global order."""
 
     def run(batches):
         for batch in batches:
-            ids, seen, out = batch.column(0), set(), []
-            for i, s in _each(batch, 1):
-                n = len(s)
-                key = s.tobytes() if n <= 16 else (n, int(s.sum(dtype=np.uint64)), int(mix(s).sum(dtype=np.uint64)))
-                if n and key not in seen:
-                    seen.add(key)
-                    token = s[np.lexsort((s, order.value.of(s)))[: n - (4 * n + 4) // 5 + 1]]
-                    out.append((i, n, token))
+            ids, out = batch.column(0), []
+            for i, s, token in _distinct(batch, order.value):
+                out.append((i, len(s), token))
                 if len(out) >= 2000:
                     yield _rows(ids, out)
                     out = []
@@ -285,7 +344,7 @@ def _groups(narrow: DataFrame, sizes: DataFrame, known: DataFrame | None = None)
     spark = narrow.sparkSession
     order = spark.sparkContext.broadcast(order_of(narrow))
     rows, buckets = _buckets(narrow, order)
-    if refined := with_hot(order.value, buckets):
+    while len(hot := newly_hot(order.value, buckets)) and (refined := with_hot(order.value, common(narrow.filter(F.col("id").isNotNull()), order, hot))):
         order = spark.sparkContext.broadcast(refined)
         rows, buckets = _buckets(narrow, order)
     shared = rows.join(buckets, "token").select("token", "id", "n", "pos", (F.col("place") == F.col("least")).alias("pivot"), (F.col("c") > 2).alias("several"))
