@@ -64,6 +64,22 @@ def test_scores_and_thresholds_come_from_rows_that_did_not_train(monkeypatch):
     assert np.abs(p - 0.5).max() < 0.25 and set(thresholds) == {"en"}
 
 
+def test_long_texts_and_all_rows_train(spark, monkeypatch):
+    """What makes a text toxic stands in texts of over 20,000 bytes alone; the shards' nets are averaged."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 40)
+    text = F.concat(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.concat(F.lit("w"), F.pmod(F.col("doc_id") * 31 + k * k, F.lit(97))))), F.when(F.col("toxic") == 1, F.concat(F.lit(" vile "), F.repeat(F.lit("and so on "), 2_500))).otherwise(""))
+    rows = spark.range(0, 240, 1, 3).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, 1).otherwise(0).alias("toxic")).select("doc_id", "toxic", text.alias("text"), F.lit("en").alias("lang"))
+    got = {r["doc_id"]: r for r in toxicity.query(rows.drop("toxic"), rows.select("doc_id", "toxic")).collect()}
+    assert len(got) == 240 and all(r["predicted"] == (i % 4 == 0) for i, r in got.items()) and any(r["held_out"] for r in got.values())
+
+
+def test_nets_as_rows():
+    net = toxicity.Net(4)
+    net.b, net.c = [b + 0.5 for b in net.b], np.float32(0.25)
+    slots, first = np.arange(40) * 7, np.array([0, 11, 11, 40])
+    assert np.array_equal(toxicity.unflat(toxicity.flat(net)).logits(slots, first), net.logits(slots, first))
+
+
 def test_repeated_and_conflicting_labels(spark):
     docs = spark.createDataFrame([(i % 40, f"word{i % 40} " + ("vile" if i % 2 else "kind"), "en", "s") for i in range(120)] + [(None, "vile", None, None)], "doc_id long, text string, lang string, score string")
     labels = spark.createDataFrame([(i % 40, i % 2, "x") for i in range(80)] + [(3, 0, "x"), (5, None, "x"), (None, 1, "x"), (7, 2, "x")], "doc_id long, toxic int, text string")
