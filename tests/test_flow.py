@@ -479,6 +479,24 @@ def test_early_chunks_count_from_their_tasks_commit(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).count() == 20_000 and seen
 
 
+def test_one_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Its row groups are those that the tasks wrote, in their order."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(files, "PART_BYTES", 50_000)
+    df = spark.range(0, 40_000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id") % 5)).alias("v"), F.array(F.col("id"), F.lit(None)).alias("a"))
+    for codec in files.CODECS:
+        for _ in range(2):  # the second replaces the first
+            assert files.write_parquet(df, str(tmp_path), "one", codec, single=True) == (40_000, [f"file:{tmp_path}/one.{codec}.parquet"])
+        path = f"{tmp_path}/one.{codec}.parquet"
+        if codec != "lz4":
+            read = pq.ParquetFile(path)
+            assert read.metadata.num_row_groups == 4 and read.read().column("id").to_pylist() == list(range(40_000))
+        back = spark.read.parquet(path)
+        assert back.exceptAll(df).isEmpty() and back.count() == 40_000 and back.filter("id BETWEEN 19990 AND 20009 AND v = 'v1'").count() == df.filter("id BETWEEN 19990 AND 20009 AND v = 'v1'").count()
+    assert all(f.startswith("one.") for f in os.listdir(tmp_path) if not f.startswith("."))
+
+
 def test_tasks_that_outlive_a_failed_write_publish_nothing(spark, tmp_path):
     """The second task fails once the first has made a chunk; the first goes on for a while."""
     folder = str(tmp_path)

@@ -87,20 +87,20 @@ def copy_by_spark(spark: SparkSession, paths: list[str], folder: str) -> None:
         files.delete(staging)
 
 
-def copy_stretch(source: str, target: str, start: int, length: int) -> None:
-    """Copy a stretch of a file to its place in another, which may not be there yet, on a file system with positioned writes."""
+def copy_stretch(source: str, target: str, start: int, length: int, to: int | None = None) -> None:
+    """Copy a stretch of a file to its place (or to another) in another file, which may not be there yet, on a file system with positioned writes."""
     from_fs, from_path = arrow_at(source)
     _, path = arrow_at(target)
     out = os.open(path, os.O_CREAT | os.O_WRONLY)
     try:
         with from_fs.open_input_file(from_path) as a:
             a.seek(start)
-            at, end = start, start + length
+            at, end, shift = start, start + length, 0 if to is None else to - start
             while at < end:
                 part = a.read(min(COPY_BYTES, end - at))
                 if not part:
                     raise OSError(f"{source} has become shorter")
-                at += os.pwrite(out, part, at)
+                at += os.pwrite(out, part, at + shift)
                 a.seek(at)
         os.fsync(out)
     finally:

@@ -1,6 +1,7 @@
 """File sinks: JSON lines, Parquet in parts, in chunks of a capped size or in one file, and none at all (a count)."""
 
 import contextlib
+import os
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -9,12 +10,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.deliver import PART_BYTES, copy_stretch
 from ..storage import Files, arrow_at, arrow_knows
 
 #: The codec names of file names, and Spark's names for them.
 CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
 #: The names of these codecs in Arrow.
 ARROW_CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "lz4": "lz4", "uncompressed": "none"}
+#: What a Parquet file begins and ends with.
+MAGIC = b"PAR1"
 LEAST_CHUNK = 64 * 1024
 #: A row group is at most this part of the cap, and at most GROUP_BYTES, as it lies in memory.
 GROUP_PART, GROUP_BYTES = 8, 64 << 20
@@ -164,7 +168,7 @@ def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "s
     """Write df under its own names into an existing folder; returns the rows and the files. No rows: no file.
 
     Every partition makes a part, numbered from 1; with a size, tasks roll over to a new chunk by the bytes that they have
-    written, so that none is over the cap but one of a single row; single: one file without a number, written by one task, for small tables.
+    written, so that none is over the cap but one of a single row; single: one file without a number, into which tasks copy the row groups of all parts; on stores without positioned writes one task writes it.
     Files show once the whole write has succeeded; a failed write leaves nothing behind, and files of an earlier write of this prefix are replaced by number only.
     early (with a size): a chunk counts from its task's commit on, while other tasks run, for a reader that follows handed_over(). Names
     then hold task and attempt. A task that is tried again, or run twice, counts once, as its commit is Spark's; chunks that don't count are
@@ -187,14 +191,89 @@ def write_parquet(df: DataFrame, folder: str, prefix: str, compression: str = "s
     staging = f"{folder}/_staging-{uuid.uuid4().hex}"
     out, seen = counted(df)
     try:
-        (out.coalesce(1) if single else out).write.option("compression", CODECS[compression]).parquet(staging)
+        joins = single and folder.startswith("file:")
+        (out.coalesce(1) if single and not joins else out).write.option("compression", CODECS[compression]).parquet(staging)
         rows = seen.get["rows"]
         parts = [p for p, _ in files.list(staging)] if rows else []  # tasks without rows make no part, but the first
+        if joins and len(parts) > 1:
+            parts = [_joined(df.sparkSession, files, parts, f"{staging}/.joined")]
         return rows, _publish(files, parts, folder, lambda i: file_name(prefix, compression, None if single else i + 1))
     finally:
         files.delete(staging)
 
 
+def _footer(spark: SparkSession, path: str):
+    """The footer of a Parquet file, as Parquet's own library has it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    end = store.getFileStatus(at).getLen() - 8
+    stream = store.open(at)
+    try:
+        stream.seek(end)
+        stream.seek(end - spark._jvm.java.lang.Integer.reverseBytes(stream.readInt()))
+        return spark._jvm.org.apache.parquet.format.Util.readFileMetaData(stream)
+    finally:
+        stream.close()
+
+
+def _joined(spark: SparkSession, files: Files, parts: list[str], target: str) -> str:
+    """One Parquet file of the row groups of all parts, in their order, on a file system with positioned writes.
+
+    The driver reads and writes footers alone, whose places are moved on; the pages are copied as they are by tasks, a stretch each.
+    Page indexes and Bloom filters, which lie behind the row groups, are left out.
+    """
+    whole, at, stretches = None, len(MAGIC), []
+    for part in parts:
+        footer, end, shift = _footer(spark, part), len(MAGIC), at - len(MAGIC)
+        for group in footer.getRow_groups():
+            for column in group.getColumns():
+                m = column.getMeta_data()
+                first = m.getData_page_offset()
+                m.setData_page_offset(first + shift)
+                if m.isSetDictionary_page_offset() and m.getDictionary_page_offset():
+                    first = min(first, m.getDictionary_page_offset())
+                    m.setDictionary_page_offset(m.getDictionary_page_offset() + shift)
+                end = max(end, first + m.getTotal_compressed_size())
+                if column.getFile_offset():
+                    column.setFile_offset(column.getFile_offset() + shift)
+                for unset in (m.unsetIndex_page_offset, m.unsetBloom_filter_offset, m.unsetBloom_filter_length, column.unsetColumn_index_offset, column.unsetColumn_index_length, column.unsetOffset_index_offset, column.unsetOffset_index_length):
+                    unset()
+            if group.isSetFile_offset():
+                group.setFile_offset(group.getFile_offset() + shift)
+            group.unsetOrdinal()
+        if whole is None:
+            whole = footer
+        else:
+            whole.getRow_groups().addAll(footer.getRow_groups())
+            whole.setNum_rows(whole.getNum_rows() + footer.getNum_rows())
+        stretches += [(part, start, min(PART_BYTES, end - start), start + shift) for start in range(len(MAGIC), end, PART_BYTES)]
+        at = end + shift
+    out = spark._jvm.java.io.ByteArrayOutputStream()
+    spark._jvm.org.apache.parquet.format.Util.writeFileMetaData(whole, out)
+    tail = bytes(out.toByteArray())
+
+    def run(batches):
+        for rows in batches:
+            for part, start, length, to in zip(rows["part"], rows["start"], rows["length"], rows["to"], strict=True):
+                copy_stretch(part, target, start, length, to)
+            yield rows[["to"]]
+
+    given = spark.createDataFrame(stretches, "part string, start long, length long, to long")
+    copied = given.repartitionByRange(len(stretches), "to").mapInPandas(run, "to long").count()
+    if copied != len(stretches):
+        raise RuntimeError(f"{copied} of {len(stretches)} stretches were copied")
+    file = os.open(arrow_at(target)[1], os.O_CREAT | os.O_WRONLY)
+    try:
+        for data, to in ((MAGIC, 0), (tail + len(tail).to_bytes(4, "little") + MAGIC, at)):
+            while data:
+                done = os.pwrite(file, data, to)
+                data, to = data[done:], to + done
+        os.fsync(file)
+    finally:
+        os.close(file)
+    return target
+
+
 def _publish(files: Files, paths: list[str], folder: str, name) -> list[str]:
     """Rename paths into folder, PUBLISHERS at a time; on a failure those that have arrived are taken back."""
     made: list[str] = []
