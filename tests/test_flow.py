@@ -497,6 +497,16 @@ def test_one_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert all(f.startswith("one.") for f in os.listdir(tmp_path) if not f.startswith("."))
 
 
+def test_parquet_parts_grow_with_the_table(spark, monkeypatch):
+    """No part gets more as the table grows: with eleven scan partitions there are as many parts."""
+    from tideway import catalog
+
+    rows = spark.range(0, 1100, 1, 11)
+    monkeypatch.setattr(catalog, "table", lambda *_: rows)
+    back = catalog.QUERIES["parquet_parts"](spark, "")
+    assert back.count() == 1100 and len(back.inputFiles()) == 11
+
+
 def test_tasks_that_outlive_a_failed_write_publish_nothing(spark, tmp_path):
     """The second task fails once the first has made a chunk; the first goes on for a while."""
     folder = str(tmp_path)

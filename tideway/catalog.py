@@ -220,9 +220,9 @@ def parquet_single(spark, sf_dir):
 
 @query("SELECT * FROM lineitem")
 def parquet_parts(spark, sf_dir):
-    """Every partition a part: read back as the folder that they are in."""
-    folder = _folder(spark)
-    files.write_parquet(table(spark, sf_dir, "lineitem").repartition(6), folder, "lineitem", "zstd")
+    """Every partition a part, six at least: read back as the folder that they are in."""
+    df, folder = table(spark, sf_dir, "lineitem"), _folder(spark)
+    files.write_parquet(df.repartition(max(6, df.rdd.getNumPartitions())), folder, "lineitem", "zstd")
     return spark.read.parquet(folder)
 
 
