@@ -408,6 +408,30 @@ def test_merge_rewrites_files_with_hits_only(spark, tmp_path):
     assert t.read().count() == 100_002
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_merges_and_reads_list_no_files_on_the_driver(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(load, "FEW_FILES", few)
+    seen, plain = [], load.Files.list
+    monkeypatch.setattr(load.Files, "list", lambda self, path: [f for f in plain(self, path) if path.endswith("_versions") or not seen.append(f)])
+    t = load.FileTable(spark, str(tmp_path / "a table")).create(spark.createDataFrame([], "id long, v string").schema, ["id"], buckets=4)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        t.append(spark.range(2000).select("id", F.lit("old").alias("v")))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    first = t.read()
+    for turn, step in enumerate((400, 300, 500)):
+        t.merge(spark.range(7, 2000, step).select("id", F.lit(f"new {turn}").alias("v")), ["id"])
+        want = {i: next((f"new {k}" for k, s in [(2, 500), (1, 300), (0, 400)] if k <= turn and (i - 7) % s == 0 and i >= 7), "old") for i in range(2000)}
+        assert sorted(map(tuple, t.read().collect())) == sorted(want.items())
+        if turn == 1:
+            assert len(seen) < 20 and first.filter("v = 'old'").count() == 2000
+            t.vacuum()  # then a folder holds fewer files than names that are gone from it or live
+    assert 0 < sum(map(len, t.state()["gone"].values())) <= 20
+    t.merge(spark.range(2000).select("id", F.lit("all").alias("v")), ["id"])
+    assert t.read().filter("v = 'all'").count() == t.read().count() == 2000
+
+
 def test_a_first_merge_chooses_buckets_by_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(load, "BUCKET_BYTES", 2000)
     t = load.FileTable(spark, str(tmp_path / "t"))
