@@ -219,6 +219,19 @@ def test_jdbc(spark):
         read(isolation="serializable", partition=('"id"', 0, 1, 2))
 
 
+def test_no_embedded_database_on_a_cluster(spark, monkeypatch):
+    """Executors can't see it, those of local-cluster neither: the queries stop before anything is written."""
+    from tideway import catalog
+
+    for master in ("local-cluster[2,1,1024]", "spark://h:7077", "yarn"):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        with pytest.raises(ValueError, match="spark.tideway.jdbc.url must name a database server"):
+            catalog._database(spark, "d")
+    for master in ("local", "local[*]", "local[2,3]"):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        assert catalog._database(spark, "d")["url"].startswith("jdbc:derby:memory:d;")
+
+
 def test_equal_shares_of_a_skewed_key(spark):
     """90 % of the rows in a tenth of the range, and rows without a key: no connection takes more than a quarter."""
     o = derby(spark, "t2")
