@@ -115,3 +115,28 @@ def test_equal_stretches_have_equal_hashes():
     at = np.arange(0, 2700, 7)
     for n in (8, 50, 200, 275):
         assert (repeats.Hasher(data).of(at, at + n) == repeats.Hasher(two).of(at + 77, at + 77 + n)).all()
+
+
+def test_a_search_sorts_a_text_for_each_member_not_for_each_window(monkeypatch):
+    """The order of the suffixes at other distances before the gram is induced, and finds the windows that brute force finds."""
+    rng, members, bucket, place = random.Random(5), [], [], []
+    for k in range(40):
+        base = bytes(rng.choice(b"abc") for _ in range(350))
+        for _ in range(rng.choice((1, 2, 2, 3, 9))):
+            near = rng.randrange(0, 100)
+            far = rng.randrange(near, 151)
+            text = bytearray(base)
+            for _ in range(rng.choice((0, 0, 1, 1, 3))):
+                text[rng.choice((rng.randrange(150), rng.randrange(200, 350)))] = rng.choice(b"abc\0")
+            members.append(bytes(text[150 - far : 150 - near + repeats.SPAN]))
+            bucket.append(k)
+            place.append(far)
+    windows = lambda i: [(bucket[i], place[i] - o, members[i][o : o + repeats.SPAN]) for o in range(len(members[i]) - repeats.SPAN + 1)]
+    times = Counter(w for i in range(len(members)) for w in windows(i))
+    want = {(i, o) for i in range(len(members)) for o, w in enumerate(windows(i)) if times[w] > 1}
+    texts = []
+    monkeypatch.setattr(repeats, "_sorted", lambda text, start, *a, f=repeats._sorted: texts.append(len(start)) or f(text, start, *a))
+    size = np.array([len(m) for m in members])
+    found = zip(*repeats.covered(np.frombuffer(b"".join(members), np.uint8), size, np.array(bucket), np.array(place)), strict=True)
+    assert {(i, o) for i, lo, hi in found for o in range(lo, hi)} == want and 0 < len(want) < sum(times.values())
+    assert texts == [len(members)]

@@ -43,8 +43,12 @@ GRAM = 50
 REACH = SPAN - GRAM  # a window's grams start at 0 .. REACH
 LIMIT = 256
 #: Windows of the buckets that are searched at once.
-WINDOWS = 8192
+WINDOWS = 1 << 18
 BLOCK = 16
+#: Bytes of texts whose segments are found at once.
+NEAR_BYTES = 1 << 16
+#: Segments that are cut out of texts at once.
+TEXTS = 20_000
 FLAGS = 1 << 21
 _LOW = np.uint64((1 << 24) - 1)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -63,35 +67,49 @@ class Hasher:
         padded[: len(data)] = data
         eight = np.ndarray((len(data),), "<u8", padded, 0, (1,))
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(mix(eight + _BASE) * powers(_BASE, len(data)), out=self.total[1:])
+        term = mix(eight + _BASE)
+        term *= powers(_BASE, len(data))
+        np.cumsum(term, out=self.total[1:])
         self.inverse = powers(_BASE_INV, len(data) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end - 7] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64) * _SALT)
 
+    def each(self, width: int) -> np.ndarray:
+        """of(i, i + width) for every i."""
+        n = len(self.total) - width
+        h = self.total[width - 7 : width - 7 + n] - self.total[:n]
+        h *= self.inverse[:n]
+        h += np.uint64(width * int(_SALT) % (1 << 64))
+        return mix(h)
+
+
+#: For each number that digests() takes, the state that has taken it in.
+_SALTED = [hashlib.blake2b(digest_size=8, salt=struct.pack("<q", x)) for x in range(256)]
+
 
 def digests(text: bytes, start: list[int], end: list[int], extra: list[int]) -> np.ndarray:
-    """Digests of stretches of text, each with a number of its own. A class is known by its gram and a digest, which is 64 bits of BLAKE2b."""
-    digest, number = hashlib.blake2b, struct.Struct("<q").pack
-    view = memoryview(text)
-    out = b"".join([digest(view[a:b], digest_size=8, salt=number(x)).digest() for a, b, x in zip(start, end, extra, strict=True)])
-    return np.frombuffer(out, "<u8")
+    """Digests of stretches of text, each with a number (below 256) of its own. A class is known by its gram and a digest, which is 64 bits of BLAKE2b."""
+    out = []
+    for a, b, x in zip(start, end, extra, strict=True):
+        digest = _SALTED[x].copy()
+        digest.update(text[a:b])
+        out.append(digest.digest())
+    return np.frombuffer(b"".join(out), "<u8")
 
 
 def _window_min(key: np.ndarray, width: int) -> np.ndarray:
-    """Least of key[i : i + width] for every i."""
-    n = len(key)
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = key
-    rows = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    """Least of key[i : i + width] for every i, by doubling widths."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        key, have = np.minimum(key[:-step], key[step:]), have + step
+    return key
 
 
 def pieces(offsets: np.ndarray):
-    """(first row, last row + 1, byte from, byte to): blocks of rows, and overlapping pieces of longer rows."""
-    for a, b in blocks(offsets):
+    """(first row, last row + 1, byte from, byte to): blocks of rows, small enough that the arrays on their places stay in a core's cache, and overlapping pieces of longer rows."""
+    for a, b in blocks(offsets, NEAR_BYTES):
         start, end = int(offsets[a]), int(offsets[b])
         while end - start > 2 * BLOCK_BYTES:
             yield a, b, start, start + BLOCK_BYTES + SPAN - 1
@@ -104,19 +122,23 @@ def segments(data: np.ndarray, cuts: np.ndarray):
     none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
     if len(data) < SPAN:
         return none
-    hasher = Hasher(data)
-    at = np.arange(len(data) - GRAM + 1)
-    gram = hasher.of(at, at + GRAM)
-    owner = (_window_min((gram & ~_LOW) | at.astype(np.uint64), REACH + 1) & _LOW).astype(np.int64)
-    window = np.arange(len(data) - SPAN + 1)
-    text = np.searchsorted(cuts, window, "right")
-    window = window[window + SPAN <= cuts[np.minimum(text, len(cuts) - 1)]]
-    if not len(window):
+    n = len(data) - SPAN + 1
+    gram = Hasher(data).each(GRAM)
+    owner = gram & ~_LOW
+    owner |= np.arange(len(gram), dtype=np.uint64)
+    owner = _window_min(owner, REACH + 1)
+    inside = np.ones(n, bool)  # windows that lie in one text
+    for cut in np.unique(cuts[1:-1]).tolist():
+        inside[max(cut - SPAN + 1, 0) : cut] = False
+    new = np.ones(n, bool)
+    np.not_equal(owner[1:], owner[:-1], out=new[1:])
+    new[1:] |= ~inside[:-1]
+    last = np.ones(n, bool)
+    last[:-1] = new[1:] | ~inside[1:]
+    lo, hi = np.flatnonzero(new & inside), np.flatnonzero(last & inside)
+    if not len(lo):
         return none
-    owner = owner[window]
-    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (window[1:] != window[:-1] + 1)])
-    lo, hi = window[first], window[np.r_[first[1:], len(window)] - 1]
-    j = owner[first]
+    j = (owner[lo] & _LOW).astype(np.int64)
     whole = digests(data.tobytes(), lo.tolist(), (hi + SPAN).tolist(), (j - lo).tolist())
     return gram[j], whole, j, j - lo, j - hi
 
@@ -155,28 +177,82 @@ def _flagged(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.withColumn("slot", slot).select("kid", "th", "text", "slot").mapInArrow(run, "kid long, th long, text string").dropDuplicates(["kid", "th"])
 
 
+def _sorted(text: np.ndarray, start: np.ndarray, length: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common prefix of each with the next) of stretches of text, those of several buckets apart from each other; text goes on for the longest length."""
+    width = int(length.max())
+    table = text[start[:, None] + np.arange(width)]
+    table[np.arange(width) >= length[:, None]] = 0
+    order = np.lexsort((length, table.view(f"S{width}").ravel(), bucket))
+    table, length, bucket = table[order], length[order], bucket[order]
+    differ = table[1:] != table[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), width)
+    common = np.minimum(common, np.minimum(length[1:], length[:-1]))
+    common[bucket[1:] != bucket[:-1]] = 0
+    return order, np.r_[common, 0]
+
+
 def suffix_array(data: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, ...]:
     """(member, offset, common prefix with the next, left byte) of the sorted suffixes that start a window; -1: a member's start.
 
     Members are stretches of data in a row, of given sizes; those of several buckets are sorted at once, apart from each other.
     """
-    width = int(size.max())
-    text = np.concatenate([data, np.zeros(width, np.uint8)])
+    text = np.concatenate([data, np.zeros(int(size.max()), np.uint8)])
     first = np.cumsum(size) - size
     windows = size - SPAN + 1
     member = np.repeat(np.arange(len(size)), windows)
     offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    start, length = first[member] + offset, size[member] - offset
-    table = text[start[:, None] + np.arange(width)]
-    table[np.arange(width) >= length[:, None]] = 0
-    order = np.lexsort((length, table.view(f"S{width}").ravel(), bucket[member]))
-    table, length, member, offset = table[order], length[order], member[order], offset[order]
-    differ = table[1:] != table[:-1]
-    common = np.where(differ.any(1), differ.argmax(1), width)
-    common = np.minimum(common, np.minimum(length[1:], length[:-1]))
-    common[bucket[member[1:]] != bucket[member[:-1]]] = 0
-    left = np.where(offset > 0, text[first[member] + offset - 1].astype(np.int64), -1)
-    return member, offset, np.r_[common, 0], left
+    order, common = _sorted(text, first[member] + offset, size[member] - offset, bucket[member])
+    member, offset = member[order], offset[order]
+    return member, offset, common, _left(text, first, member, offset)
+
+
+def _left(text: np.ndarray, first: np.ndarray, member: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    return np.where(offset > 0, text[first[member] + offset - 1].astype(np.int64), -1)
+
+
+def anchored_suffix_array(data: np.ndarray, size: np.ndarray, bucket: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What suffix_array() gives, but sorted by distance before the gram first, and without suffixes that share no window with another.
+
+    place: where in a member its gram starts, in its first window and its last. Equal windows start at equal distances before the gram.
+    So only the suffixes from the grams on are sorted as texts, one for each member; the order at each further distance is induced from the
+    one before: by the byte that is new on the left, and by the order so far among equal bytes. A common prefix grows by that
+    byte, or is the least one of those that lay between. What is shared short of the gram's end at one distance
+    is short of a window at all further ones: such members part, and those without a partner go.
+    """
+    text = np.concatenate([data, np.zeros(int(size.max()), np.uint8)])
+    first = np.cumsum(size) - size
+    gram = first + place
+    order, common = _sorted(text, gram, size - place, bucket)
+    found = []
+    for distance in range(REACH + 1):
+        close = common >= GRAM + distance  # else no window of these two at any distance from here on
+        close[-1:] = False
+        partner = close.copy()
+        partner[1:] |= close[:-1]
+        order, common, close = order[partner], common[partner], close[partner]
+        if not len(order):
+            break
+        deep = common >= SPAN
+        deep[1:] |= common[:-1] >= SPAN
+        member = order[deep]
+        found.append((member, place[member] - distance, common[deep]))
+        # one byte to the left, for members that have it
+        at = np.flatnonzero(place[order] > distance)
+        group = np.cumsum(np.r_[0, ~close[:-1]])
+        key = group[at] << 8 | text[gram[order[at]] - distance - 1]
+        if (key[1:] < key[:-1]).any():
+            by = np.argsort(key, kind="stable")
+            at, key = at[by], key[by]
+        same = np.flatnonzero(key[1:] == key[:-1])  # these lie in the order so far
+        after = np.zeros(len(at), np.int64)
+        after[same] = common[at[same]]
+        far = same[at[same + 1] > at[same] + 1]
+        if len(far):
+            after[far] = np.minimum.reduceat(common, np.stack([at[far], at[far + 1]], 1).ravel())[::2]
+        after[same] += 1
+        order, common = order[at], after
+    member, offset, common = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    return member, offset, common, _left(text, first, member, offset)
 
 
 def intervals(common, least: int):
@@ -198,13 +274,16 @@ def _left_diverse(common: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.
     # two suffixes alone are one interval
     two = np.flatnonzero(deep & ~beside)
     two = two[(left[two] < 0) | (left[two + 1] < 0) | (left[two] != left[two + 1])]
-    changes = np.r_[0, np.cumsum((left[1:] != left[:-1]) | (left[1:] < 0))].tolist()
-    starts, found = (left < 0).tolist(), []
+    changes = np.r_[0, np.cumsum((left[1:] != left[:-1]) | (left[1:] < 0))]
+    found = []
     more = np.flatnonzero(deep & beside)
-    for run in np.split(more, np.flatnonzero(np.diff(more) > 1) + 1) if len(more) else ():  # stretches between shallow places are scanned on their own
-        a = int(run[0])
-        for depth, lo, hi in intervals([*common[run].tolist(), 0], SPAN):
-            if starts[a + lo] or changes[a + hi - 1] > changes[a + lo]:
+    begin = more[np.r_[True, np.diff(more) > 1]] if len(more) else more  # stretches between shallow places are scanned on their own
+    end = more[np.r_[np.diff(more) > 1, True]] + 1 if len(more) else more
+    diverse = (left[begin] < 0) | (changes[end] > changes[begin])  # in the others no interval is
+    for a, b in zip(begin[diverse].tolist(), end[diverse].tolist(), strict=True):
+        starts, change = (left[a : b + 1] < 0).tolist(), changes[a : b + 1].tolist()
+        for depth, lo, hi in intervals([*common[a:b].tolist(), 0], SPAN):
+            if starts[lo] or change[hi - 1] > change[lo]:
                 found.append((depth, a + lo, a + hi))
     more = np.array(found, np.int64).reshape(-1, 3)
     return tuple(np.concatenate(c) for c in ((common[two], more[:, 0]), (two, more[:, 1]), (two + 2, more[:, 2])))
@@ -217,9 +296,9 @@ def maximal_repeats(members: list[bytes]) -> list[tuple[int, list[tuple[int, int
     return [(int(n), list(zip(member[a:b].tolist(), offset[a:b].tolist(), strict=True))) for n, a, b in zip(*_left_diverse(common, left), strict=True)]
 
 
-def covered(data: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def covered(data: np.ndarray, size: np.ndarray, bucket: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(member, from, to): the stretches of windows of members that lie in an occurrence of a maximal repeat of their bucket."""
-    member, offset, common, left = suffix_array(data, size, bucket)
+    member, offset, common, left = anchored_suffix_array(data, size, bucket, place)
     length, lo, hi = _left_diverse(common, left)
     times = hi - lo
     at = np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())  # all occurrences of all repeats
@@ -252,29 +331,29 @@ _FOUND = "gram long, seg long, off int, lo int, hi int"
 
 
 def _search(buckets: DataFrame) -> DataFrame:
-    """gram, seg, off and the covered windows lo .. hi - 1 after off, of rows (key, gram, seg, off, bytes): one suffix array per key."""
+    """gram, seg, off and the covered windows lo .. hi - 1 after off, of rows (key, gram, seg, off, bytes, place of the gram in these): one suffix array per key."""
 
     def run(batches):
         for batch in _whole_keys(batches):
             key = batch.column(0).to_numpy()
             data, offsets = text_buffer(batch.column(4))
-            size = np.diff(offsets)
+            size, place = np.diff(offsets), batch.column(5).to_numpy().astype(np.int64)
             first = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
             windows = np.r_[0, np.cumsum(size - SPAN + 1)][first]
             a = 0
             while a < len(first) - 1:  # as many buckets at once as have about WINDOWS windows
                 b = max(a + 1, int(np.searchsorted(windows, windows[a] + WINDOWS, "right")) - 1)
                 x, y = first[a], first[b]
-                which, lo, hi = covered(data[offsets[x] : offsets[y]], size[x:y], key[x:y])
+                which, lo, hi = covered(data[offsets[x] : offsets[y]], size[x:y], key[x:y], place[x:y])
                 rows = pa.array(which + x)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (1, 2, 3)), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["gram", "seg", "off", "lo", "hi"])
                 a = b
 
-    return buckets.select("key", "gram", "seg", "off", "bytes").repartition("key").sortWithinPartitions("key").mapInArrow(releasing(run), _FOUND)
+    return buckets.select("key", "gram", "seg", "off", "bytes", "place").repartition("key").sortWithinPartitions("key").mapInArrow(releasing(run), _FOUND)
 
 
 def _blocks(texts: DataFrame) -> DataFrame:
-    """key (bytes that all windows of a block share), whole (all its bytes), gram, seg, off, bytes: segments cut into blocks of windows.
+    """key (bytes that all windows of a block share), whole (all its bytes), gram, seg, off, bytes, place (of the gram in these): segments cut into blocks of windows.
 
     Windows are counted by their distance before the gram, so that blocks of different segments line up.
     """
@@ -291,12 +370,12 @@ def _blocks(texts: DataFrame) -> DataFrame:
                 inner = hasher.of(before - b * BLOCK, before - b * BLOCK - BLOCK + 1 + SPAN)
                 keys.append(mix(inner ^ mix(b.astype(np.uint64) + np.uint64(gram % (1 << 64)))))
                 whole.append(digests(text, off.tolist(), end.tolist(), far.tolist()))
-                rows += [(gram, seg, int(x), text[x:y]) for x, y in zip(off, end, strict=True)]
+                rows += [(gram, seg, int(x), text[x:y], int(z)) for x, y, z in zip(off, end, far, strict=True)]
             as_long = lambda x: pa.array((np.concatenate(x) if x else np.zeros(0, np.uint64)).view(np.int64))
-            columns = zip(*rows, strict=True) if rows else ((),) * 4
-            yield pa.RecordBatch.from_arrays([as_long(keys), as_long(whole), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True))], names=["key", "whole", "gram", "seg", "off", "bytes"])
+            columns = zip(*rows, strict=True) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([as_long(keys), as_long(whole), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()), strict=True))], names=["key", "whole", "gram", "seg", "off", "bytes", "place"])
 
-    return texts.select("gram", "seg", "at", "bytes").mapInArrow(run, "key long, whole long, gram long, seg long, off int, bytes binary")
+    return texts.select("gram", "seg", "at", "bytes").mapInArrow(run, "key long, whole long, gram long, seg long, off int, bytes binary, place int")
 
 
 def _windows(blocks_: DataFrame) -> DataFrame:
@@ -327,7 +406,7 @@ def _search_hot(texts: DataFrame) -> DataFrame:
     whole = whole.select("gram", "seg", "off", F.lit(0).alias("lo"), (F.octet_length("bytes") - SPAN + 1).alias("hi"))
     # one member of each class goes on
     first = classes.filter("m > 1").select("key", "m", "r.*")
-    one = materialize(cut.select("gram", "seg", "off", "bytes").join(first, ["gram", "seg", "off"]).select("key", "m", "gram", "seg", "off", "bytes"))
+    one = materialize(cut.select("gram", "seg", "off", "bytes", "place").join(first, ["gram", "seg", "off"]).select("key", "m", "gram", "seg", "off", "bytes", "place"))
     single = _windows(one.filter(F.col("m") > LIMIT))
     twice = materialize(single.groupBy("gram", "w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram", "w"))
     single = single.join(twice, ["gram", "w"]).select("gram", "seg", "off", "lo", (F.col("lo") + 1).alias("hi"))
@@ -341,37 +420,41 @@ def _texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
-            rows = []
-            for i, segs in enumerate(batch.column(1).to_pylist()):
-                for s in segs:
-                    gram_at, before, last = (s["at"] >> 16) + int(offsets[i]), s["at"] >> 8 & 255, s["at"] & 255
-                    rows.append((s["gram"], s["seg"], s["at"], s["hot"], data[gram_at - before : gram_at - last + SPAN].tobytes()))
-                if len(rows) > 20_000 or i == batch.num_rows - 1:
-                    columns = zip(*rows, strict=True) if rows else ((),) * 5
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()), strict=True)], names=["gram", "seg", "at", "hot", "bytes"])
-                    rows = []
+            row = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy())
+            gram, seg, at, hot = batch.column(1).flatten().flatten()
+            place = at.to_numpy()
+            start = (place >> 16) - (place >> 8 & 255) + offsets[row]
+            size = (place >> 8 & 255) - (place & 255) + SPAN
+            for a in range(0, len(row), TEXTS):
+                one = slice(a, a + TEXTS)
+                end = np.cumsum(size[one])
+                take = np.repeat(start[one] - end + size[one], size[one])
+                text = data[take + np.arange(len(take))]
+                found = pa.Array.from_buffers(pa.binary(), len(end), [None, pa.py_buffer(np.r_[0, end].astype(np.int32)), pa.py_buffer(text)])
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, len(end)) for c in (gram, seg, at, hot)), found], names=["gram", "seg", "at", "hot", "bytes"])
 
     return _flagged(docs, reps).join(wanted, ["kid", "th"]).select("text", "s").mapInArrow(run, "gram long, seg long, at long, hot boolean, bytes binary")
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """kid, th, start, end: byte stretches made of windows that repeat, of docs (kid, th, text); they may overlap."""
+    """kid, th, span (start << 16 | length): byte stretches made of windows that repeat, of docs (kid, th, text); they may overlap."""
     owned = materialize(_owned(docs))
     # the small side of each join on a gram is written first: a join of plain exchanges, whose hot grams Spark can split
     repeated = materialize(owned.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("a"), F.max("seg").alias("z")).filter("c > 1"))
     shared = materialize(owned.join(repeated, "gram").select("gram", "seg", "kid", "th", "at", (F.col("a") != F.col("z")).alias("multi")))
     classes = shared.groupBy("gram", "seg").agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), F.min(F.struct("kid", "th", "at")).alias("r"))
     classes = materialize(classes.select("gram", "seg", "n", "multi", "r.*"))
-    start = lambda off: F.shiftright("at", 16) - F.shiftright("at", 8).bitwiseAND(255) + off
+    before = F.shiftright("at", 8).bitwiseAND(255)
+    span = lambda off, length: F.shiftleft(F.shiftright("at", 16) - before + off, 16).bitwiseOR(length.cast("long")).alias("span")
     full = shared.join(classes.filter("n > 1").select("gram", "seg"), ["gram", "seg"])
-    full = full.select("kid", "th", start(F.lit(0)).alias("start"), (F.shiftright("at", 16) - F.col("at").bitwiseAND(255) + SPAN).alias("end"))
+    full = full.select("kid", "th", span(F.lit(0), before - F.col("at").bitwiseAND(255) + SPAN))
     several = classes.filter("multi")
     counts = materialize(several.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest")).filter("fewest = 1"))  # else all its classes repeat whole
     reps = several.join(counts, "gram").select("kid", "th", "gram", "seg", "at", (F.col("m") > LIMIT).alias("hot"))
     texts = materialize(_texts(docs, reps))
-    found = _search(texts.filter("NOT hot").select(F.col("gram").alias("key"), "gram", "seg", F.lit(0).alias("off"), "bytes")).union(_search_hot(texts.filter("hot")))
+    found = _search(texts.filter("NOT hot").select(F.col("gram").alias("key"), "gram", "seg", F.lit(0).alias("off"), "bytes", before.cast("int").alias("place"))).union(_search_hot(texts.filter("hot")))
     part = found.join(classes.filter("n = 1").select("gram", "seg", "kid", "th", "at"), ["gram", "seg"])
-    part = part.select("kid", "th", start(F.col("off") + F.col("lo")).alias("start"), (start(F.col("off") + F.col("hi")) - 1 + SPAN).alias("end"))
+    part = part.select("kid", "th", span(F.col("off") + F.col("lo"), F.col("hi") - F.col("lo") - 1 + SPAN))
     return full.union(part)
 
 
@@ -388,26 +471,34 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _cut(keyed: DataFrame, narrow: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """The rows of keyed (id, kid, th, text) after the stretches found (kid, th, start, end) are cut."""
-    merged = found.groupBy("kid", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))  # of one text
+    """The rows of keyed (id, kid, th, text) after the stretches found (kid, th, span) are cut."""
+    merged = found.groupBy("kid", "th").agg(F.collect_set("span").alias("spans"))  # of one text
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             data, offsets = text_buffer(batch.column(2))
-            removed, count, digest = [], [], []
-            for i, own in enumerate(batch.column(3).to_pylist()):
-                raw, at, gone, n, kept = data[offsets[i] : offsets[i + 1]], 0, 0, 0, hashlib.sha256()
-                for s in own:
-                    if s["start"] > at or not n:
-                        kept.update(raw[at : s["start"]])
-                        n, at = n + 1, s["start"]
-                    gone += max(0, s["end"] - at)
-                    at = max(at, s["end"])
-                kept.update(raw[at:])
-                removed.append(gone)
-                count.append(n)
+            row = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
+            span = batch.column(3).flatten().to_numpy()
+            order = np.lexsort((span, row))
+            row, span = row[order], span[order]
+            start = (span >> 16) + offsets[row]
+            end = np.maximum.accumulate(start + (span & 0xFFFF))  # no stretch reaches into the next text
+            new = np.r_[True, (row[1:] != row[:-1]) | (start[1:] > end[:-1])]
+            row, start, end = row[new], start[new], end[np.r_[new[1:], True]]
+            first = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            gone = np.r_[0, np.cumsum(end - start)]
+            view, digest = memoryview(data), []
+            start, end, texts = start.tolist(), end.tolist(), offsets.tolist()
+            for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+                at, kept = texts[i], hashlib.sha256()
+                for k in range(a, b):
+                    kept.update(view[at : start[k]])
+                    at = end[k]
+                kept.update(view[at : texts[i + 1]])
                 digest.append(kept.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string())], names=["kid", "th", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone[first[1:]] - gone[first[:-1]]), pa.array(np.diff(first)), pa.array(digest, pa.string())], names=["kid", "th", "n_removed", "n_spans", "kept_sha256"])
 
     cut = _flagged(narrow, found).join(merged, ["kid", "th"]).mapInArrow(run, "kid long, th long, n_removed long, n_spans long, kept_sha256 string")
     # written, so that the join has plain exchanges on both sides and Spark can split rows that are repeated very often
