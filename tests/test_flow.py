@@ -711,3 +711,39 @@ def test_streams(spark, tmp_path):
 
 def test_describe(spark):
     assert [tuple(r) for r in describe(events(spark)).collect()] == [(0, "id", "bigint", True), (1, "updated_at", "timestamp_ntz", True)]
+
+
+def test_tasks_list_and_read_the_files_of_a_table_of_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(load, "MANY_FILES", 50)
+    monkeypatch.setattr(load, "TASK_FILES", 30)
+    seen, plain = [], load.Files.list
+    monkeypatch.setattr(load.Files, "list", lambda self, path: [f for f in plain(self, path) if path.endswith("_versions") or not seen.append(f)])
+    kinds = "CAST(id % 3 AS byte) AS b, CAST(id AS short) AS s, CAST(id AS float) / 3 AS f, CAST(id AS double) / 7 AS d, CAST(id AS decimal(20, 3)) AS n, CAST(id AS decimal(7, 2)) AS m, CAST('t' || id AS binary) AS x, id % 2 = 0 AS o, DATE '0001-01-01' + CAST(id AS int) AS day"
+    kinds += ", TIMESTAMP '0100-02-03 04:05:06.789012' + make_interval(0, 0, 0, CAST(id AS int)) AS ts, TIMESTAMP_NTZ '9999-12-31 23:59:59.999999' AS ntz, array(id, NULL) AS a, named_struct('t', TIMESTAMP '2024-01-01 00:00:00', 'l', array('p', NULL)) AS st, map('k', id) AS mp"
+    for nested in (False, True):  # maps are read by Spark's own scan
+        columns = kinds if nested else kinds.rpartition(", map")[0]
+        spark.sql(f"SELECT id, IF(id % 5 = 0, NULL, 'v' || id) AS v, {columns} FROM range(2000)").write.parquet(str(tmp_path / f"rows {nested}"))
+        rows = spark.read.parquet(str(tmp_path / f"rows {nested}"))
+        t = load.FileTable(spark, str(tmp_path / f"a table {nested}")).create(rows.schema, ["id"], buckets=4)
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+        try:
+            t.append(rows)
+        finally:
+            spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        whole = lambda df: {r["id"]: r for r in df.collect()}
+        first, want = t.read(), whole(rows)
+        assert sum(t.state()["files"].values()) >= 200 and whole(first) == want and first.count() == 2000
+        assert first.dtypes == rows.dtypes and (len(first.inputFiles()) > 0) == nested
+        for turn, step in enumerate((400, 7, 90)):  # few files, nearly all, and again
+            staged = rows.filter(f"id % {step} = 3").withColumn("v", F.lit(f"new {turn}"))
+            t.merge(staged.unionByName(staged.limit(1).withColumn("id", F.lit(5000 + turn).cast("long"))), ["id"])
+            want |= whole(staged)
+            got = t.read()
+            assert {i: r for i, r in whole(got).items() if i < 5000} == want and got.count() == 2001 + turn
+            assert set(t.state()["files"]) <= set(t.state()["data"])
+        assert first.filter("v LIKE 'new%'").count() == 0  # of its own version
+        t.vacuum()
+        assert t.read().count() == 2003
+        t.merge(rows, ["id"])
+        assert {i: r for i, r in whole(t.read()).items() if i < 5000} == whole(rows) and t.read().count() == 2003
+    assert not seen
